@@ -1,0 +1,31 @@
+"""Broadcasts that depend on a measured size."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+_UNITS = {"b": 1, "k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+
+
+def _bytes(setting: str) -> int:
+    text = setting.strip().lower()
+    if text.endswith("b") and text[-2:-1] in _UNITS:
+        text = text[:-1]
+    return int(text[:-1]) * _UNITS[text[-1]] if text[-1] in _UNITS else int(text)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's own size estimate; file bytes for a table scan."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def small_side(df: DataFrame, measured: DataFrame) -> DataFrame:
+    """`df` marked for broadcast if `measured`, which it has no more rows than, is small.
+
+    For a frame made by a join Spark's estimate is a product and far too
+    large, so the estimate of its base table decides, against the session's
+    own broadcast threshold. A larger side stays a shuffled join.
+    """
+    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return F.broadcast(df) if estimated_bytes(measured) <= limit else df

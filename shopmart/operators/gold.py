@@ -125,13 +125,13 @@ def seller_performance(silver: Silver) -> DataFrame:
         "is_delivered_on_time",
         "review_score",
     )
-    return seller_performance_of(pairs)
+    return seller_performance_of(pairs, ["seller_id", "seller_state", "product_category"])
 
 
-def seller_performance_of(pairs: DataFrame) -> DataFrame:
+def seller_performance_of(pairs: DataFrame, keys: list[str]) -> DataFrame:
     """Figures from one row per (order, seller, category) that stands for `n` items."""
     n, score = F.col("n"), F.col("review_score")
-    return pairs.groupBy("seller_id", "seller_state", "product_category").agg(
+    return pairs.groupBy(*keys).agg(
         F.sum(n).alias("total_order_items_sold"),
         money(F.sum("revenue")).alias("total_revenue_contribution"),
         ratio(F.sum(n * F.col("is_delivered_on_time")), F.count("*"), 4).alias("on_time_delivery_rate"),

@@ -23,6 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.functions.columns import MONEY, early_days, label, on_time, parse_review_time, title_case
+from shopmart.functions.sizes import small_side
 from shopmart.sources.bronze import Bronze
 
 SEGMENT_ROWS = 10_000
@@ -54,7 +55,7 @@ def product_labels(products: DataFrame, translation: DataFrame) -> DataFrame:
     The text work is done here, once per product instead of once per item.
     """
     category = F.coalesce("product_category_name_english", "product_category_name")
-    return products.join(translation, "product_category_name", "left").select(
+    labelled = products.join(translation, "product_category_name", "left").select(
         "product_id",
         label(category).alias("product_category"),
         "product_weight_g",
@@ -62,6 +63,7 @@ def product_labels(products: DataFrame, translation: DataFrame) -> DataFrame:
         "product_height_cm",
         "product_width_cm",
     )
+    return small_side(labelled, measured=products)
 
 
 def item_rows(order_items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:

@@ -7,10 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.operators import gold, silver
+from shopmart.operators import gold, quality, rules, silver, star
 from shopmart.operators.silver import Silver
 from shopmart.sources.bronze import Bronze
-from shopmart.sources.sample import sample_bronze
+from shopmart.sources.sample import dirty_bronze, sample_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,3 +106,80 @@ on_silver("gold_cohort_retention_all", gold.cohort_retention_all)
 on_silver("gold_cohort_retention_product", gold.cohort_retention_product)
 on_silver("gold_order_summary", gold.order_summary)
 on_silver("gold_customer_metrics", lambda s: gold.customer_metrics(gold.order_summary(s)))
+
+# ---------------------------------------------------------------- star schema
+
+on_bronze("star_customer_ltv", star.star_customer_ltv)
+on_bronze("star_payment_behavior", star.star_payment_behavior)
+on_bronze("star_seller_performance", star.star_seller_performance)
+on_bronze("star_sales_kpi", star.star_sales_kpi)
+on_bronze("star_cohort_retention_all", star.star_cohort_retention_all)
+on_bronze("star_cohort_retention_product", star.star_cohort_retention_product)
+
+# ---------------------------------------------------------------- quality
+
+# Key checks that find nothing in clean data run on the sample with planted faults.
+FAULT_CHECKS = (
+    quality.orders_null_keys,
+    quality.orders_dup_order_id,
+    quality.orders_customer_ratio,
+    quality.orders_dup_customer_id,
+    quality.products_dup,
+    quality.distinct_orders,
+    quality.distinct_order_customers,
+)
+CHECKS = (
+    quality.customers_distinct_ratio,
+    quality.multi_payment_orders,
+    quality.repeat_customers,
+    quality.customer_moved,
+    quality.multi_review_orders,
+    quality.multi_review_latest,
+    quality.untranslated_categories,
+    quality.orders_without_review,
+    quality.reviews_without_order,
+    quality.items_without_product,
+    quality.invalid_dates,
+    quality.orders_without_payment,
+    quality.orders_without_items,
+    quality.cost_payment_mismatch,
+)
+
+
+def _check(build: Callable[[Bronze], DataFrame], source: Callable[[SparkSession, str], Bronze]) -> Query:
+    return lambda spark, sf_dir: plain_money(build(source(spark, sf_dir)))
+
+
+for _build in FAULT_CHECKS:
+    register(f"dq_{_build.__name__}", _check(_build, dirty_bronze))
+for _build in CHECKS:
+    register(f"dq_{_build.__name__}", _check(_build, sample_bronze))
+
+
+def _tables(s: Silver) -> dict[str, DataFrame]:
+    return {
+        "denormalized_orders": s.orders,
+        "customer_ltv": gold.customer_ltv(s),
+        "cohort_retention_product": gold.cohort_retention_product(s),
+        "cohort_retention_all": gold.cohort_retention_all(s),
+        "payment_behavior": gold.payment_behavior(s),
+        "seller_performance": gold.seller_performance(s),
+        "sales_kpi": gold.sales_kpi(s),
+    }
+
+
+def _rule_query(kinds: tuple[str, ...] | None, faults: bool = False) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables = _tables(Silver.from_bronze(sample_bronze(spark, sf_dir)))
+        if faults:
+            tables["denormalized_orders"] = Silver.from_bronze(dirty_bronze(spark, sf_dir)).orders
+        return rules.report(tables, kinds)
+
+    return build
+
+
+register("dq_rule_unique", _rule_query(("unique",), faults=True))
+register("dq_rule_not_null", _rule_query(("not_null",), faults=True))
+register("dq_rule_accepted_values", _rule_query(("accepted_values",)))
+register("dq_rule_expression", _rule_query(("expression",)))
+register("dq_gold_report", _rule_query(None))

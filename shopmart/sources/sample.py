@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopmart.sources.bronze import Bronze
-from shopmart.sources.sample_mapping import MAPPING, in_dialect
+from shopmart.sources.sample_mapping import DIRTY, MAPPING, in_dialect
 
 # An order with more lines than this is numbered in parts.
 MAX_LINES_PER_WINDOW = 1_000_000
@@ -81,3 +83,13 @@ def _map_tables(spark: SparkSession, sf_dir: str) -> Bronze:
         raw[name] = spark.sql(text, **inputs)
     raw["orders"] = raw.pop("b_orders")
     return Bronze.from_tables(raw)
+
+
+def dirty_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
+    """The sample with planted faults in the keys of orders and products."""
+    bronze = sample_bronze(spark, sf_dir)
+    return replace(
+        bronze,
+        orders=spark.sql(DIRTY["orders_dirty"], b_orders=bronze.orders),
+        products=spark.sql(DIRTY["products_dirty"], products=bronze.products),
+    )

@@ -122,3 +122,20 @@ def in_dialect(text: str, dialect: str) -> str:
     for pattern, replacement in DIALECTS[dialect]:
         text = re.sub(pattern, replacement, text)
     return text
+
+# Raw tables with planted faults for the key checks: some rows twice, some
+# of the repeats without a customer.
+DIRTY: dict[str, str] = {
+    "orders_dirty": """
+select * from {b_orders}
+union all
+select order_id, case when cast(substr(order_id, 2) as bigint) % 1000 = 0 then null else customer_id end customer_id,
+  order_status, order_purchase_timestamp, order_approved_at, order_delivered_carrier_date,
+  order_delivered_customer_date, order_estimated_delivery_date
+from {b_orders} where cast(substr(order_id, 2) as bigint) % 500 = 0
+""",
+    "products_dirty": """
+select * from {products}
+union all select * from {products} where cast(substr(product_id, 2) as bigint) % 100 = 0
+""",
+}

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def all_oracles() -> dict[str, str]:
-    from oracles import gold, quality, silver, star
+    from oracles import features, gold, quality, silver, star
 
     merged: dict[str, str] = {}
-    for module in (silver, gold, star, quality):
+    for module in (silver, gold, star, quality, features):
         merged.update(module.ORACLES)
     return merged

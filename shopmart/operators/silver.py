@@ -237,6 +237,10 @@ def exploded(table: DataFrame, part: str, order_columns: Sequence[str] = ()) ->
     return rows.select("order_id", *order_columns, number.alias("order_item_id"), "seller.*")
 
 
+def _grouped(rows: DataFrame, keys: list[str], measures: Sequence[Column]) -> DataFrame:
+    return rows.groupBy(*keys).agg(*measures) if measures else rows.select(*keys).distinct()
+
+
 @dataclass(frozen=True)
 class Silver:
     """Order scalars and children, from flat parts or from the nested table."""
@@ -272,9 +276,8 @@ class Silver:
         combined to a few rows before it is shuffled or joined.
         """
         if self.table is not None:
-            rows = exploded(self.table, part, order_columns)
-            return rows.groupBy("order_id", *order_columns, *keys).agg(*measures)
-        per_order = getattr(self, part).groupBy("order_id", *keys).agg(*measures)
+            return _grouped(exploded(self.table, part, order_columns), ["order_id", *order_columns, *keys], measures)
+        per_order = _grouped(getattr(self, part), ["order_id", *keys], measures)
         if not order_columns:
             return per_order
         return per_order.join(self.orders.select("order_id", *order_columns), "order_id")

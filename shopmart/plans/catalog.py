@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.operators import gold, quality, rules, silver, star
+from shopmart.operators import features, gold, quality, rules, silver, star
 from shopmart.operators.silver import Silver
 from shopmart.sources.bronze import Bronze
 from shopmart.sources.sample import dirty_bronze, sample_bronze
@@ -183,3 +183,17 @@ register("dq_rule_not_null", _rule_query(("not_null",), faults=True))
 register("dq_rule_accepted_values", _rule_query(("accepted_values",)))
 register("dq_rule_expression", _rule_query(("expression",)))
 register("dq_gold_report", _rule_query(None))
+
+# ---------------------------------------------------------------- features
+
+on_silver("gold_ltv_features", features.ltv_features)
+on_silver("ltv_target", features.ltv_target)
+
+
+def labelled_sellers(s: Silver) -> DataFrame:
+    return features.churn_label(features.ltv_features(s))
+
+
+on_silver("ml_churn_label", lambda s: labelled_sellers(s).select("seller_id", "ltv_6m", "churn_6m"))
+on_silver("churn_features_customer", features.churn_features_customer)
+on_silver("ml_fill_missing", lambda s: features.fill_missing(features.churn_features_customer(s)))

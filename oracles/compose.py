@@ -47,6 +47,10 @@ def query(sql: str) -> str:
 
     visit(sql)
     ctes = ",\n".join(f"p_{n} as ({PARTS[n]})" for n in ordered)
+    own = re.match(r"\s*with\s+", sql)
+    if own and ctes:
+        sql = sql[own.end() :]
+        ctes += ","
     text = (f"with {ctes}\n" if ctes else "") + sql
     text = _NAME.sub(lambda m: f"p_{m[1]}" if m[1] in PARTS else m[1], text)
     text = _macro(text, "DIV", lambda a, b: f"(cast({a} as double) / nullif(cast({b} as double), 0))")

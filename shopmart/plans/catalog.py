@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.operators import features, gold, quality, rules, silver, star
+from shopmart.operators import evaluation, features, gold, profiling, quality, rules, silver, star
+from shopmart.functions.columns import title_case
 from shopmart.operators.silver import Silver
 from shopmart.sources.bronze import Bronze
 from shopmart.sources.sample import dirty_bronze, sample_bronze
@@ -197,3 +198,87 @@ def labelled_sellers(s: Silver) -> DataFrame:
 on_silver("ml_churn_label", lambda s: labelled_sellers(s).select("seller_id", "ltv_6m", "churn_6m"))
 on_silver("churn_features_customer", features.churn_features_customer)
 on_silver("ml_fill_missing", lambda s: features.fill_missing(features.churn_features_customer(s)))
+
+# ---------------------------------------------------------------- profiles
+
+
+def _rounded(df: DataFrame, **digits: int) -> DataFrame:
+    """Figures that depend on the order of summing, at comparable precision."""
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
+
+
+def _locations(bronze: Bronze) -> DataFrame:
+    parts = {
+        "customer": bronze.customers.select(
+            F.col("customer_city").alias("city"), F.col("customer_state").alias("state")
+        ),
+        "seller": bronze.sellers.select(F.col("seller_city").alias("city"), F.col("seller_state").alias("state")),
+    }
+    return profiling.union_all(parts, "source")
+
+
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
+    products = sample_bronze(spark, sf_dir).products.select("product_id", "product_category_name")
+    same = F.col("product_id") == F.concat(F.lit("P"), F.col("o_orderkey").cast("string"))
+    return orders.join(products, same, "left").select(
+        "o_orderkey",
+        title_case(F.col("o_orderpriority")).alias("priority"),
+        title_case(F.col("product_category_name")).alias("category"),
+    )
+
+
+on_bronze("set_union_all", _locations)
+register("fn_title_case", _titles)
+on_silver(
+    "profile_describe",
+    lambda s: _rounded(
+        profiling.describe(features.ltv_features(s), [*features.LTV_FEATURES, "ltv_6m"]),
+        mean=3, std=3, q25=6, median=6, q75=6,
+    ),
+)
+on_silver("profile_nulls", lambda s: profiling.null_profile(features.churn_features_customer(s)))
+on_silver("profile_value_counts", lambda s: profiling.value_counts(labelled_sellers(s), "churn_6m"))
+on_silver("profile_positive_share", lambda s: profiling.share_above(features.ltv_features(s), "ltv_6m", 0.1))
+
+# ---------------------------------------------------------------- evaluation
+
+
+def scored_sellers(s: Silver) -> DataFrame:
+    """Sellers with a plain score, so that evaluation does not depend on a trained model."""
+    score = F.round(F.try_divide(F.col("recency_days").cast("double"), F.lit(366.0)), evaluation.SCORE_DIGITS)
+    return labelled_sellers(s).select(
+        "seller_id",
+        "ltv_6m",
+        "total_spent",
+        "churn_6m",
+        score.alias("score"),
+        F.when(score >= evaluation.THRESHOLD, 1).otherwise(0).alias("prediction"),
+    )
+
+
+def _split(s: Silver) -> DataFrame:
+    sellers = labelled_sellers(s).select("seller_id", "churn_6m")
+    split = evaluation.train_test_split(sellers, "seller_id")
+    return evaluation.stratified_split(split, "seller_id", "churn_6m")
+
+
+def _recalibrated(s: Silver) -> DataFrame:
+    scored = scored_sellers(s)
+    weight = evaluation.class_ratio(scored, "churn_6m").select("imbalance_ratio").scalar()
+    return scored.select("seller_id", "score", evaluation.recalibrated(F.col("score"), weight).alias("calibrated"))
+
+
+on_silver("ml_train_test_split", _split)
+on_silver("ml_class_ratio", lambda s: evaluation.class_ratio(labelled_sellers(s), "churn_6m"))
+on_silver("ml_confusion_matrix", lambda s: evaluation.confusion_matrix(scored_sellers(s), "churn_6m", "prediction"))
+on_silver("ml_roc_curve", lambda s: evaluation.roc_curve(scored_sellers(s), "churn_6m", "score"))
+on_silver("ml_pr_curve", lambda s: evaluation.pr_curve(scored_sellers(s), "churn_6m", "score"))
+on_silver("ml_metrics", lambda s: evaluation.metrics(scored_sellers(s), "churn_6m", "score", "prediction"))
+on_silver("ml_probability_recalibration", _recalibrated)
+on_silver(
+    "ml_regression_metrics",
+    lambda s: _rounded(
+        evaluation.regression_metrics(scored_sellers(s), "ltv_6m", "total_spent"), mse=0, rmse=2, r2=6
+    ),
+)

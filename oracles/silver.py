@@ -160,4 +160,8 @@ select * replace (cast(payment_value as double) as payment_value)
 from {payments} where order_id in (select order_id from {b_orders})"""),
     "silver_sellers_exploded": query("""
 select * from {order_sellers} where order_id in (select order_id from {b_orders})"""),
+    "bronze_csv_roundtrip": query("""
+select * replace (cast(price as double) as price, cast(freight_value as double) as freight_value)
+from {order_items}"""),
+    "silver_incremental_append": query("select * from {flat_facts}"),
 }

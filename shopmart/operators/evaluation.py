@@ -50,7 +50,8 @@ def stratified_split(
         .groupBy("class")
         .agg(F.min("bucket").alias("cut"))
     )
-    marked = df.join(cuts, F.col(label) == F.col("class"), "left")
+    # Broadcast: one row per class; a shuffle by class would use a task per class.
+    marked = df.join(F.broadcast(cuts), F.col(label) == F.col("class"), "left")
     return marked.withColumn(name, F.when(bucket <= F.col("cut"), "train").otherwise("test")).drop("class", "cut")
 
 

@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
+from functools import reduce
+from uuid import uuid4
 
+from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.operators import evaluation, features, gold, profiling, quality, rules, silver, star
+from shopmart.operators import evaluation, features, gold, models, profiling, quality, rules, silver, star
 from shopmart.functions.columns import title_case
 from shopmart.operators.silver import Silver
-from shopmart.sources.bronze import Bronze
+from shopmart.plans import layouts
+from shopmart.session import cut_lineage, shared_dir
+from shopmart.sources import storage
+from shopmart.sources.bronze import Bronze, read_csv
 from shopmart.sources.sample import dirty_bronze, sample_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -282,3 +288,123 @@ on_silver(
         evaluation.regression_metrics(scored_sellers(s), "ltv_6m", "total_spent"), mse=0, rmse=2, r2=6
     ),
 )
+
+# ---------------------------------------------------------------- models
+
+KEY, LABEL = "seller_id", "churn_6m"
+CLASSIFIERS = ("decision_tree", "random_forest", "boosted_trees", "logistic")
+
+
+def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled sellers, written once: training reads them many times."""
+    return cut_lineage(labelled_sellers(Silver.from_bronze(sample_bronze(spark, sf_dir))))
+
+
+def _classifier_metrics(kind: str) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        table = training_table(spark, sf_dir)
+        _, scored = models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, kind)
+        return models.evaluate(scored, LABEL, kind)
+
+    return build
+
+
+def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = training_table(spark, sf_dir)
+    return models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, "random_forest")[1]
+
+
+def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = training_table(spark, sf_dir)
+    trained = {
+        kind: models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, kind)[0]
+        for kind in ("random_forest", "boosted_trees")
+    }
+    return models.compare_importances(trained, features.LTV_FEATURES)
+
+
+def _top_forest(table: DataFrame) -> tuple[list[str], Model, DataFrame]:
+    """The forest trained again on the inputs that mattered most the first time."""
+    first, _ = models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, "random_forest")
+    chosen = models.top_features(first, features.LTV_FEATURES, models.TOP_CHURN)
+    forest, scored = models.train_and_score(table, chosen, KEY, LABEL, "random_forest")
+    return chosen, forest, scored
+
+
+def _top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chosen, _, scored = _top_forest(training_table(spark, sf_dir))
+    return models.evaluate(scored, LABEL, "random_forest").withColumn("inputs", F.lit(", ".join(chosen)))
+
+
+def not_true_positives(spark: SparkSession, table: DataFrame) -> DataFrame:
+    """Scores all sellers with the stored forest and drops the rightly called churners."""
+    chosen, forest, _ = _top_forest(table)
+    path = f"{shared_dir(spark)}/churn-forest-{uuid4().hex}"
+    models.save_model(forest, path)
+    stored = models.load_random_forest(path)
+    called = stored.transform(models.assemble(table, chosen))
+    marked = called.select(*table.columns, F.col("prediction").cast("int").alias("churn_6m_pred"))
+    return models.drop_true_positives(marked, LABEL, "churn_6m_pred")
+
+
+def _score_and_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rest = not_true_positives(spark, training_table(spark, sf_dir))
+    return rest.select(KEY, LABEL, "churn_6m_pred", "ltv_6m")
+
+
+def _ltv_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Errors of both regressors on all inputs and on the most important ones.
+
+    The second training uses the filtered sellers as the first one does.
+    """
+    table = cut_lineage(not_true_positives(spark, training_table(spark, sf_dir)))
+    reports = []
+
+    def report(inputs: Sequence[str], note: str) -> dict[str, Model]:
+        trained = {}
+        for kind in ("random_forest", "boosted_trees"):
+            trained[kind], scored = models.train_regressor(table, inputs, KEY, "ltv_6m", kind)
+            figures = evaluation.regression_metrics(scored, "ltv_6m", "prediction")
+            reports.append(figures.select(F.lit(kind).alias("model"), F.lit(note).alias("inputs"), "*"))
+        return trained
+
+    forest = report(features.LTV_FEATURES, "all")["random_forest"]
+    top = models.top_features(forest, features.LTV_FEATURES, models.TOP_LTV)
+    report(top, ", ".join(top))
+    return reduce(DataFrame.unionByName, reports)
+
+
+for _kind, _name in zip(CLASSIFIERS, ("ml_decision_tree", "ml_random_forest", "ml_gbt", "ml_logistic")):
+    register(_name, _classifier_metrics(_kind))
+register("ml_predictions", _predictions)
+register("ml_feature_importance", _importance)
+register("ml_top_features", _top_features)
+register("ml_score_and_filter", _score_and_filter)
+register("ml_ltv_regression", _ltv_regression)
+
+# ---------------------------------------------------------------- storage
+
+FIRST_LOAD_BEFORE = "2000-01-01"
+
+
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+
+
+def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = _scratch(spark, "order_items")
+    storage.write_csv(sample_bronze(spark, sf_dir).order_items, path)
+    return read_csv(spark, "order_items", path)
+
+
+def _incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A first load of the older orders, then an append that must skip them."""
+    path = _scratch(spark, "silver")
+    orders = Silver.from_bronze(sample_bronze(spark, sf_dir)).orders
+    storage.append_new(orders.where(F.col("order_purchase_timestamp") < FIRST_LOAD_BEFORE), path, ["order_id"])
+    return plain_money(storage.append_new(orders, path, ["order_id"]))
+
+
+register("bronze_csv_roundtrip", _csv_roundtrip)
+register("silver_incremental_append", _incremental_append)
+register("bench_silver_vs_star", lambda spark, sf_dir: layouts.silver_vs_star(spark, sample_bronze(spark, sf_dir)))

@@ -28,8 +28,6 @@ DAYS_PER_MONTH = 30.4
 PROJECTED_MONTHS = 6
 LAST_PERIOD = 6
 
-N = F.count("*")
-
 
 def sales_kpi(silver: Silver) -> DataFrame:
     """Sales, customers, punctuality and reviews by category, status, match flag and place."""
@@ -42,7 +40,7 @@ def sales_kpi(silver: Silver) -> DataFrame:
         "is_delivered_on_time",
         "review_score",
     ]
-    orders = silver.mix("items", ["product_category"], [N.alias("n")], [*place, *scalars])
+    orders = silver.mix("items", ["product_category"], [F.count("*").alias("n")], [*place, *scalars])
     return sales_kpi_of(orders, keys)
 
 
@@ -112,10 +110,10 @@ def seller_performance(silver: Silver) -> DataFrame:
     items = silver.mix(
         "items",
         ["product_category"],
-        [N.alias("n_items"), F.sum("price").alias("price")],
+        [F.count("*").alias("n_items"), F.sum("price").alias("price")],
         ["order_status", "is_delivered_on_time", "review_score"],
     ).where(F.col("order_status") == DELIVERED)
-    sellers = silver.mix("sellers", ["seller_id", "seller_state"], [N.alias("n_sellers")])
+    sellers = silver.mix("sellers", ["seller_id", "seller_state"], [F.count("*").alias("n_sellers")])
     pairs = sellers.join(items, "order_id").select(
         "seller_id",
         "seller_state",
@@ -152,9 +150,9 @@ def payment_behavior(silver: Silver) -> DataFrame:
         "payment_match_flag",
         "review_score",
     ]
-    items = silver.mix("items", ["product_category"], [N.alias("n_items")], scalars)
+    items = silver.mix("items", ["product_category"], [F.count("*").alias("n_items")], scalars)
     payments = silver.mix(
-        "payments", ["payment_type"], [N.alias("n_payments"), F.sum("payment_installments").alias("installments")]
+        "payments", ["payment_type"], [F.count("*").alias("n_payments"), F.sum("payment_installments").alias("installments")]
     )
     pairs = payments.join(items, "order_id").withColumn(
         "mismatch", F.when(F.col("payment_match_flag") == "Match", 0).otherwise(1)
@@ -268,7 +266,7 @@ def cohort_retention_product_of(delivered: DataFrame, first_items: DataFrame) ->
 def order_summary(silver: Silver) -> DataFrame:
     """Delivered orders flat; `primary_state` is over delivered orders only here."""
     delivered = silver.orders.where(F.col("order_status") == DELIVERED).drop("primary_state")
-    sizes = silver.mix("items", [], [N.cast("int").alias("total_items_quantity")])
+    sizes = silver.mix("items", [], [F.count("*").cast("int").alias("total_items_quantity")])
     first_seller = silver.mix("sellers", [], [F.min_by("seller_id", "order_item_id").alias("primary_seller_id")])
     return _summary_columns(with_first_state(delivered), silver, sizes, first_seller)
 

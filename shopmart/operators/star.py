@@ -25,8 +25,6 @@ from shopmart.operators.silver import (
 )
 from shopmart.sources.bronze import Bronze
 
-N = F.count("*")
-
 
 def _scores(bronze: Bronze) -> DataFrame:
     return latest_review(bronze.order_reviews).select("order_id", "review_score")
@@ -51,10 +49,10 @@ def star_customer_ltv(bronze: Bronze) -> DataFrame:
 def star_payment_behavior(bronze: Bronze) -> DataFrame:
     """Cost is summed once per payment and the paid amount once per item here."""
     payments = bronze.order_payments.groupBy("order_id", "payment_type").agg(
-        N.alias("n_payments"), F.sum("payment_installments").alias("installments")
+        F.count("*").alias("n_payments"), F.sum("payment_installments").alias("installments")
     )
-    payments_n = bronze.order_payments.groupBy("order_id").agg(N.alias("payments_n"))
-    items = _items_by_category(bronze, [], N.alias("n_items"))
+    payments_n = bronze.order_payments.groupBy("order_id").agg(F.count("*").alias("payments_n"))
+    items = _items_by_category(bronze, [], F.count("*").alias("n_items"))
     totals = item_totals(bronze.order_items).join(payment_totals(bronze.order_payments), "order_id")
     cost = (F.col("calculated_order_cost") * F.col("payments_n")).cast(MONEY)
     paid = (F.col("total_payment_value") * F.col("total_items_quantity")).cast(MONEY)
@@ -77,7 +75,7 @@ def star_payment_behavior(bronze: Bronze) -> DataFrame:
 
 def star_seller_performance(bronze: Bronze) -> DataFrame:
     items = _items_by_category(
-        bronze, ["seller_id"], N.alias("n"), F.sum(F.col("price").cast(MONEY)).alias("revenue")
+        bronze, ["seller_id"], F.count("*").alias("n"), F.sum(F.col("price").cast(MONEY)).alias("revenue")
     )
     orders = bronze.orders.where(F.col("order_status") == gold.DELIVERED).select(
         "order_id", _punctual().alias("is_delivered_on_time")
@@ -100,7 +98,7 @@ def star_sales_kpi(bronze: Bronze) -> DataFrame:
         .withColumn("is_delivered_on_time", _punctual())
         .withColumn("num_early_delivery_days", early_days(promised, arrived))
     )
-    items = _items_by_category(bronze, [], N.alias("n"))
+    items = _items_by_category(bronze, [], F.count("*").alias("n"))
     keys = ["product_category", "order_status", "payment_match_flag", "customer_state", "customer_city"]
     return gold.sales_kpi_of(items.join(orders, "order_id"), keys)
 

@@ -60,9 +60,13 @@ CHURN_FEATURES = (
 
 
 def observation_time(silver: Silver, months: int = HORIZON_MONTHS) -> Column:
-    """The newest purchase minus the horizon, as a scalar subquery."""
+    """The newest purchase minus the horizon, evaluated first like a script variable.
+
+    One value; as a literal it reaches the scan of the orders as a filter.
+    """
     newest = silver.orders.agg(F.max("order_purchase_timestamp").alias("t"))
-    return newest.select(F.col("t") - F.make_ym_interval(F.lit(0), F.lit(months))).scalar()
+    observed = newest.select((F.col("t") - F.make_ym_interval(F.lit(0), F.lit(months))).cast("string")).first()[0]
+    return F.lit(observed).cast("timestamp_ntz")
 
 
 def ltv_target(silver: Silver) -> DataFrame:
@@ -89,23 +93,27 @@ def ltv_features(silver: Silver) -> DataFrame:
     s items of a seller, i items and p payments stands for w = s * i * p rows.
     All sums and averages here are weighted by w over one row per order and
     seller. Two of the rates count every row and are therefore always 1.
+    The target comes from the later orders in the same pass.
     """
     observed = observation_time(silver)
-    orders = silver.orders.where(
-        (F.col("order_status") == DELIVERED)
-        & (F.col("order_purchase_timestamp") < observed)
-        & (F.col("order_purchase_timestamp") > observed - F.make_ym_interval(F.lit(1), F.lit(0)))
-    ).select(
-        "order_id",
-        "order_purchase_timestamp",
-        "order_estimated_delivery_date",
-        "order_delivered_customer_date",
-        "total_payment_value",
-        "is_delivered_on_time",
-        "num_early_delivery_days",
-        "review_score",
-        "review_cre_datetime",
-        "review_ans_datetime",
+    bought = F.col("order_purchase_timestamp")
+    orders = (
+        silver.orders.where(F.col("order_status") == DELIVERED)
+        .where(bought > observed - F.make_ym_interval(F.lit(1), F.lit(0)))
+        .where(bought != observed)
+        .select(
+            "order_id",
+            "order_purchase_timestamp",
+            "order_estimated_delivery_date",
+            "order_delivered_customer_date",
+            "total_payment_value",
+            "is_delivered_on_time",
+            "num_early_delivery_days",
+            "review_score",
+            "review_cre_datetime",
+            "review_ans_datetime",
+            (bought > observed).alias("later"),
+        )
     )
     items = silver.mix(
         "items",
@@ -127,27 +135,33 @@ def ltv_features(silver: Silver) -> DataFrame:
             F.count("payment_installments").alias("installed"),
         ],
     )
-    orders = orders.join(items, "order_id").join(payments, "order_id")
+    orders = orders.join(items, "order_id").join(payments, "order_id", "left")
     sellers = silver.mix("sellers", ["seller_id"], [F.count("*").alias("own")])
-    rows = sellers.join(orders, "order_id")
-
-    features = _seller_sums(rows, observed)
-    variety = seller_variety(silver, orders.select("order_id"), sellers.select("order_id", "seller_id"))
-    return (
-        features.join(variety, features["seller_id"].eqNullSafe(variety["variety_seller"]), "left")
-        .join(ltv_target(silver), "seller_id", "left")
-        .select(
-            "seller_id",
-            *[F.coalesce(c, F.lit(0)).alias(c) if c.startswith("unique_") else c for c in LTV_FEATURES],
-            F.coalesce("ltv_6m", F.lit(0.0)).alias("ltv_6m"),
-        )
+    features = _seller_sums(sellers.join(orders, "order_id"), observed)
+
+    in_window = orders.where(~F.col("later") & F.col("payments").isNotNull()).select("order_id")
+    variety = seller_variety(silver, in_window, sellers.select("order_id", "seller_id"))
+    return features.join(variety, features["seller_id"].eqNullSafe(variety["variety_seller"]), "left").select(
+        "seller_id",
+        *[F.coalesce(c, F.lit(0)).alias(c) if c.startswith("unique_") else c for c in LTV_FEATURES],
+        "ltv_6m",
     )
 
 
 def _seller_sums(rows: DataFrame, observed: Column) -> DataFrame:
-    bought = F.col("order_purchase_timestamp")
+    """Weighted sums per seller; later orders have no weight and only feed the target."""
+    later, paid = F.col("later"), F.col("total_payment_value")
+    counted = ~later & F.col("payments").isNotNull()
+    rows = rows.withColumns(
+        {
+            "w": F.when(counted, F.col("own") * F.col("items") * F.col("payments")),
+            "per_item": F.when(counted, F.col("own") * F.col("items")),
+            "per_payment": F.when(counted, F.col("own") * F.col("payments")),
+            "bought": F.when(counted, F.col("order_purchase_timestamp")),
+        }
+    )
+    bought, w = F.col("bought"), F.col("w")
     promised, arrived = F.col("order_estimated_delivery_date"), F.col("order_delivered_customer_date").cast("date")
-    w = F.col("own") * F.col("items") * F.col("payments")
     all_rows = F.sum(w)
 
     def average(value: Column, digits: int) -> Column:
@@ -156,35 +170,41 @@ def _seller_sums(rows: DataFrame, observed: Column) -> DataFrame:
     def share(condition: Column) -> Column:
         return ratio(F.sum(F.when(condition, w).otherwise(0)), all_rows)
 
-    def child_average(total: str, known: str, weight: Column, digits: int) -> Column:
-        return ratio(F.sum(weight * F.col(total)), F.sum(weight * F.col(known)), digits)
+    def child_average(total: str, known: str, weight: str, digits: int) -> Column:
+        return ratio(F.sum(F.col(weight) * F.col(total)), F.sum(F.col(weight) * F.col(known)), digits)
 
     first, last = F.min(bought), F.max(bought)
     score = F.col("review_score")
     answer_days = F.datediff(F.col("review_cre_datetime").cast("date"), F.col("review_ans_datetime").cast("date"))
-    per_item, per_payment = F.col("own") * F.col("items"), F.col("own") * F.col("payments")
-    return rows.groupBy("seller_id").agg(
-        all_rows.alias("total_orders"),
-        money(F.sum(w * F.col("total_payment_value"))).alias("total_spent"),
-        F.coalesce(average(F.col("total_payment_value"), 2), F.lit(0.0)).alias("avg_order_value"),
-        F.datediff(observed.cast("date"), last.cast("date")).alias("recency_days"),
-        F.datediff(observed.cast("date"), first.cast("date")).alias("days_since_first_purchase"),
-        F.datediff(last.cast("date"), first.cast("date")).alias("customer_tenure_days"),
-        average(F.datediff(promised, arrived), 2).alias("avg_delivery_delay"),
-        average(F.col("is_delivered_on_time"), 2).alias("pct_ontime_deliveries"),
-        average(F.col("num_early_delivery_days"), 2).alias("avg_early_deliver_days"),
-        average(F.datediff(arrived, bought.cast("date")), 2).alias("avg_shipping_duration"),
-        F.coalesce(average(score, 2), F.lit(0.0)).alias("avg_review_score"),
-        F.sum(F.when(score.isNotNull(), w).otherwise(0)).alias("review_count"),
-        share(score >= GOOD_SCORE).alias("pct_positive_reviews"),
-        F.coalesce(average(answer_days, 2), F.lit(0.0)).alias("avg_response_time"),
-        F.round(ratio(all_rows, all_rows), 2).alias("credit_pay_rate"),
-        child_average("installments", "installed", per_item, 2).alias("avg_payment_installments"),
-        F.round(ratio(all_rows, all_rows), 2).alias("payment_match_rate"),
-        child_average("price", "priced", per_payment, 0).alias("avg_product_price"),
-        child_average("freight", "freighted", per_payment, 0).alias("avg_freight_value"),
-        F.month(last).alias("last_purchase_month"),
-        share(F.month(bought).isin(*PEAK_MONTHS)).alias("pct_orders_peak_season"),
+    # A target is joined by seller, so unknown sellers have none.
+    later_paid = F.sum(F.when(later & F.col("seller_id").isNotNull(), F.col("own") * paid))
+    return (
+        rows.groupBy("seller_id")
+        .agg(
+            all_rows.alias("total_orders"),
+            money(F.sum(w * paid)).alias("total_spent"),
+            F.coalesce(average(paid, 2), F.lit(0.0)).alias("avg_order_value"),
+            F.datediff(observed.cast("date"), last.cast("date")).alias("recency_days"),
+            F.datediff(observed.cast("date"), first.cast("date")).alias("days_since_first_purchase"),
+            F.datediff(last.cast("date"), first.cast("date")).alias("customer_tenure_days"),
+            average(F.datediff(promised, arrived), 2).alias("avg_delivery_delay"),
+            average(F.col("is_delivered_on_time"), 2).alias("pct_ontime_deliveries"),
+            average(F.col("num_early_delivery_days"), 2).alias("avg_early_deliver_days"),
+            average(F.datediff(arrived, bought.cast("date")), 2).alias("avg_shipping_duration"),
+            F.coalesce(average(score, 2), F.lit(0.0)).alias("avg_review_score"),
+            F.sum(F.when(score.isNotNull() & w.isNotNull(), w).otherwise(0)).alias("review_count"),
+            share(score >= GOOD_SCORE).alias("pct_positive_reviews"),
+            F.coalesce(average(answer_days, 2), F.lit(0.0)).alias("avg_response_time"),
+            F.round(ratio(all_rows, all_rows), 2).alias("credit_pay_rate"),
+            child_average("installments", "installed", "per_item", 2).alias("avg_payment_installments"),
+            F.round(ratio(all_rows, all_rows), 2).alias("payment_match_rate"),
+            child_average("price", "priced", "per_payment", 0).alias("avg_product_price"),
+            child_average("freight", "freighted", "per_payment", 0).alias("avg_freight_value"),
+            F.month(last).alias("last_purchase_month"),
+            share(F.month(bought).isin(*PEAK_MONTHS)).alias("pct_orders_peak_season"),
+            F.coalesce(money(later_paid), F.lit(0.0)).alias("ltv_6m"),
+        )
+        .where("total_orders IS NOT NULL")
     )
 
 

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from shopmart.functions.columns import MONEY, early_days, label, on_time, parse_review_time, title_case
 from shopmart.functions.sizes import small_side
+from shopmart.session import cut_lineage
 from shopmart.sources.bronze import Bronze
 
 SEGMENT_ROWS = 10_000
@@ -266,6 +267,11 @@ class Silver:
         parts = {part: exploded(table, part) for part in ARRAYS}
         return cls(orders=table.where("segment = 0").select(*scalars), **parts, table=table)
 
+    def stored(self) -> Silver:
+        """The flat parts written once, for jobs that build many tables."""
+        parts = {name: cut_lineage(getattr(self, name)) for name in ("orders", *ARRAYS)}
+        return Silver(**parts)
+
     def mix(
         self, part: str, keys: Sequence[str], measures: Sequence[Column], order_columns: Sequence[str] = ()
     ) -> DataFrame:

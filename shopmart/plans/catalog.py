@@ -175,9 +175,12 @@ def _tables(s: Silver) -> dict[str, DataFrame]:
     }
 
 
-def _rule_query(kinds: tuple[str, ...] | None, faults: bool = False) -> Query:
+def _rule_query(kinds: tuple[str, ...] | None, faults: bool = False, store: bool = False) -> Query:
+    """`store` writes the silver parts first, for reports on many gold tables."""
+
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        tables = _tables(Silver.from_bronze(sample_bronze(spark, sf_dir)))
+        parts = Silver.from_bronze(sample_bronze(spark, sf_dir))
+        tables = _tables(parts.stored() if store else parts)
         if faults:
             tables["denormalized_orders"] = Silver.from_bronze(dirty_bronze(spark, sf_dir)).orders
         return rules.report(tables, kinds)
@@ -186,10 +189,10 @@ def _rule_query(kinds: tuple[str, ...] | None, faults: bool = False) -> Query:
 
 
 register("dq_rule_unique", _rule_query(("unique",), faults=True))
-register("dq_rule_not_null", _rule_query(("not_null",), faults=True))
+register("dq_rule_not_null", _rule_query(("not_null",), faults=True, store=True))
 register("dq_rule_accepted_values", _rule_query(("accepted_values",)))
-register("dq_rule_expression", _rule_query(("expression",)))
-register("dq_gold_report", _rule_query(None))
+register("dq_rule_expression", _rule_query(("expression",), store=True))
+register("dq_gold_report", _rule_query(None, store=True))
 
 # ---------------------------------------------------------------- features
 
@@ -239,12 +242,12 @@ register("fn_title_case", _titles)
 on_silver(
     "profile_describe",
     lambda s: _rounded(
-        profiling.describe(features.ltv_features(s), [*features.LTV_FEATURES, "ltv_6m"]),
+        profiling.describe(cut_lineage(features.ltv_features(s)), [*features.LTV_FEATURES, "ltv_6m"]),
         mean=3, std=3, q25=6, median=6, q75=6,
     ),
 )
 on_silver("profile_nulls", lambda s: profiling.null_profile(features.churn_features_customer(s)))
-on_silver("profile_value_counts", lambda s: profiling.value_counts(labelled_sellers(s), "churn_6m"))
+on_silver("profile_value_counts", lambda s: profiling.value_counts(cut_lineage(labelled_sellers(s)), "churn_6m"))
 on_silver("profile_positive_share", lambda s: profiling.share_above(features.ltv_features(s), "ltv_6m", 0.1))
 
 # ---------------------------------------------------------------- evaluation
@@ -264,13 +267,13 @@ def scored_sellers(s: Silver) -> DataFrame:
 
 
 def _split(s: Silver) -> DataFrame:
-    sellers = labelled_sellers(s).select("seller_id", "churn_6m")
+    sellers = cut_lineage(labelled_sellers(s).select("seller_id", "churn_6m"))
     split = evaluation.train_test_split(sellers, "seller_id")
     return evaluation.stratified_split(split, "seller_id", "churn_6m")
 
 
 def _recalibrated(s: Silver) -> DataFrame:
-    scored = scored_sellers(s)
+    scored = cut_lineage(scored_sellers(s))
     weight = evaluation.class_ratio(scored, "churn_6m").select("imbalance_ratio").scalar()
     return scored.select("seller_id", "score", evaluation.recalibrated(F.col("score"), weight).alias("calibrated"))
 
@@ -280,7 +283,7 @@ on_silver("ml_class_ratio", lambda s: evaluation.class_ratio(labelled_sellers(s)
 on_silver("ml_confusion_matrix", lambda s: evaluation.confusion_matrix(scored_sellers(s), "churn_6m", "prediction"))
 on_silver("ml_roc_curve", lambda s: evaluation.roc_curve(scored_sellers(s), "churn_6m", "score"))
 on_silver("ml_pr_curve", lambda s: evaluation.pr_curve(scored_sellers(s), "churn_6m", "score"))
-on_silver("ml_metrics", lambda s: evaluation.metrics(scored_sellers(s), "churn_6m", "score", "prediction"))
+on_silver("ml_metrics", lambda s: evaluation.metrics(cut_lineage(scored_sellers(s)), "churn_6m", "score", "prediction"))
 on_silver("ml_probability_recalibration", _recalibrated)
 on_silver(
     "ml_regression_metrics",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -36,12 +37,16 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="shopmart-")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="shopmart-"))
+    return sc.getCheckpointDir()
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write `df` to the shared folder and go on from the written rows."""
-    sc = df.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write `df` once to the shared folder and go on from the written columns.
+
+    For results that are read several times: later plans neither repeat the
+    work nor lose it with an executor.
+    """
+    path = f"{shared_dir(df.sparkSession)}/table-{uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)

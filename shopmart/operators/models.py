@@ -77,13 +77,24 @@ def positive_probability() -> Column:
 
 
 def train_and_score(
-    table: DataFrame, columns: Sequence[str], key: str, label: str, kind: str, weighted: bool = False
+    table: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    label: str,
+    kind: str,
+    weighted: bool = False,
+    stratified: bool = False,
 ) -> tuple[Model, DataFrame]:
     """Fits on the training keys and scores the test keys.
 
-    `table` should be stored or checkpointed: every tree level reads it.
+    `table` should be stored: every tree level reads it. Three quarters of the
+    keys train, or with `stratified` four fifths of every class.
     """
-    split = evaluation.train_test_split(assemble(table, columns), key, TEST_SHARE)
+    vectors = assemble(table, columns)
+    if stratified:
+        split = evaluation.stratified_split(vectors, key, label, name="split")
+    else:
+        split = evaluation.train_test_split(vectors, key, TEST_SHARE)
     train = split.where("split = 'train'")
     if weighted:
         train = with_class_weight(train, label)

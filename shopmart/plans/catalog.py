@@ -295,7 +295,6 @@ on_silver(
 # ---------------------------------------------------------------- models
 
 KEY, LABEL = "seller_id", "churn_6m"
-CLASSIFIERS = ("decision_tree", "random_forest", "boosted_trees", "logistic")
 
 
 def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -377,8 +376,25 @@ def _ltv_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-for _kind, _name in zip(CLASSIFIERS, ("ml_decision_tree", "ml_random_forest", "ml_gbt", "ml_logistic")):
-    register(_name, _classifier_metrics(_kind))
+def _customer_metrics(kind: str, weighted: bool) -> Query:
+    """The rare churn of persons: missing values filled, classes kept in proportion."""
+
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        persons = features.churn_features_customer(Silver.from_bronze(sample_bronze(spark, sf_dir)))
+        table = cut_lineage(features.fill_missing(persons))
+        _, scored = models.train_and_score(
+            table, features.CHURN_FEATURES, "customer_unique_id", "churn_flag", kind, weighted, stratified=True
+        )
+        return models.evaluate(scored, "churn_flag", kind)
+
+    return build
+
+
+register("ml_decision_tree", _classifier_metrics("decision_tree"))
+register("ml_random_forest", _classifier_metrics("random_forest"))
+register("ml_gbt", _classifier_metrics("boosted_trees"))
+register("ml_gbt_weighted", _customer_metrics("boosted_trees", weighted=True))
+register("ml_logistic", _customer_metrics("logistic", weighted=False))
 register("ml_predictions", _predictions)
 register("ml_feature_importance", _importance)
 register("ml_top_features", _top_features)

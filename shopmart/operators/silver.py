@@ -17,6 +17,7 @@ array must fit into one row of one task; segment 0 holds the scalars' row.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -269,8 +270,10 @@ class Silver:
 
     def stored(self) -> Silver:
         """The flat parts written once, for jobs that build many tables."""
-        parts = {name: cut_lineage(getattr(self, name)) for name in ("orders", *ARRAYS)}
-        return Silver(**parts)
+        names = ("orders", *ARRAYS)
+        with ThreadPoolExecutor(len(names)) as pool:
+            written = pool.map(lambda name: cut_lineage(getattr(self, name)), names)
+            return Silver(**dict(zip(names, written)))
 
     def mix(
         self, part: str, keys: Sequence[str], measures: Sequence[Column], order_columns: Sequence[str] = ()
@@ -299,14 +302,15 @@ def segment_of(number: Column) -> Column:
 
 def _sorted_structs(columns: Sequence[str]) -> Column:
     """Child rows as an array in the order of the first column."""
-    return F.array_sort(F.collect_list(F.struct(*columns)))
+    return F.sort_array(F.collect_list(F.struct(*columns)))
 
 
 def items_and_sellers_agg(bronze: Bronze) -> DataFrame:
     """Item and seller arrays per order and segment, with the segment's cost and size.
 
-    Both arrays come from the same rows, so one aggregate and one shuffle
-    build them. Sellers keep one element per item, in item order.
+    Both arrays come from the same rows, so they are collected and sorted once
+    and taken apart afterwards. Sellers keep one element per item, in item
+    order.
     """
     items = item_rows(
         bronze.order_items.select("*", F.col("seller_id").alias("item_seller")),
@@ -315,20 +319,20 @@ def items_and_sellers_agg(bronze: Bronze) -> DataFrame:
     )
     known = seller_labels(bronze.sellers)
     rows = items.join(known, items["item_seller"] == known["seller_id"], "left")
-    sellers = _sorted_structs(["order_item_id", *known.columns])
+
+    def elements(fields: Sequence[str]) -> Column:
+        return F.transform("children", lambda child: F.struct(*[child[f].alias(f) for f in fields]))
+
     return (
         rows.groupBy("order_id", segment_of(F.col("order_item_id")).alias("segment"))
         .agg(
             F.round(F.sum(F.col("price") + F.col("freight_value")), 2).cast(MONEY).alias("calculated_order_cost"),
             F.count("*").alias("total_items_quantity"),
-            _sorted_structs(ITEM_FIELDS).alias("order_items_array"),
-            sellers.alias("numbered_sellers"),
-        )
-        .withColumn(
-            "sellers_array",
-            F.transform("numbered_sellers", lambda s: F.struct(*[s[f].alias(f) for f in known.columns])),
+            _sorted_structs([*ITEM_FIELDS, *known.columns]).alias("children"),
         )
-        .drop("numbered_sellers")
+        .withColumn("order_items_array", elements(ITEM_FIELDS))
+        .withColumn("sellers_array", elements(known.columns))
+        .drop("children")
     )
 
 

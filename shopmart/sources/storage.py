@@ -16,21 +16,34 @@ def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
 
 
-def replace_table(df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0) -> DataFrame:
-    """Create or replace a managed table; bucketing saves later shuffles on that key."""
+def replace_table(
+    df: DataFrame, name: str, bucket_by: str | None = None, buckets: int = 0, path: str | None = None
+) -> DataFrame:
+    """Create or replace a table; bucketing saves later shuffles on that key.
+
+    Rows are brought together by bucket before writing, so there is one file
+    per bucket and not one per bucket and task. One value of the key must fit
+    into one task.
+    """
+    if bucket_by:
+        df = df.repartition(buckets, bucket_by)
     writer = df.write.mode("overwrite").format("parquet")
     if bucket_by:
         writer = writer.bucketBy(buckets, bucket_by).sortBy(bucket_by)
+    if path:
+        writer = writer.option("path", path)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
 
-def materialize(df: DataFrame, name: str, as_view: bool = False) -> DataFrame:
+def materialize(
+    df: DataFrame, name: str, as_view: bool = False, bucket_by: str | None = None, buckets: int = 0
+) -> DataFrame:
     """A model's result as stored table or, for cheap models, as view."""
     if as_view:
         df.createOrReplaceTempView(name.replace(".", "_"))
         return df
-    return replace_table(df, name)
+    return replace_table(df, name, bucket_by if buckets else None, buckets)
 
 
 def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:

@@ -52,9 +52,19 @@ def test_pipeline_stores_all_layers(spark, shop):
     assert report[("customer_ltv", "predicted_ltv_6m_heuristic", "not_null")] == 1
     assert report[("denormalized_orders", "order_id", "unique")] == 0
     # A second run replaces the tables.
-    assert medallion.build(spark, shop.bronze())["customer_metrics"].count() == 1
+    again = medallion.build(spark, shop.bronze(), buckets=2)
+    assert again["customer_metrics"].count() == 1 and rows(again["sales_kpi"])[0]["total_sales"] == 10.0
 
 
-def test_bucketed_table(spark):
-    df = spark.range(10).selectExpr("id k", "id * 2 v")
-    assert storage.replace_table(df, "bucketed_k", bucket_by="k", buckets=2).count() == 10
+def test_bucketed_silver_needs_no_shuffle_per_order(spark, shop, capsys):
+    from pyspark.sql import functions as F
+
+    from shopmart.operators.silver import Silver, denormalized_orders
+
+    shop.order("o1", "2018-01-01").item("o1", 1, 10.0).payment("o1", 1, 10.0)
+    table = storage.replace_table(denormalized_orders(shop.bronze()), "bucketed_silver", "order_id", 2)
+    silver = Silver.from_table(table)
+    items = silver.mix("items", ["product_category"], [F.count("*").alias("n")], ["order_status"])
+    payments = silver.mix("payments", ["payment_type"], [F.count("*").alias("m")])
+    items.join(payments, "order_id").explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out

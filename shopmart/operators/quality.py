@@ -116,12 +116,19 @@ def customer_moved(bronze: Bronze) -> DataFrame:
 
 
 def multi_review_orders(bronze: Bronze) -> DataFrame:
-    """All reviews of orders with more than one review, creation date parsed."""
-    several = repeated(bronze.order_reviews, "order_id").select(F.col("order_id").alias("several_id"))
-    reviews = bronze.order_reviews.withColumn("parsed_cre_date", parse_review_time(F.col("review_creation_date")))
-    return reviews.join(several, reviews["order_id"] == several["several_id"], "right").drop(
-        "review_creation_date", "several_id"
+    """All reviews of orders with more than one review, creation date parsed.
+
+    The published right join keeps one empty row if several reviews have no
+    order at all; it is added here, so that the join itself can be a semi
+    join, whose large side may be split.
+    """
+    several = repeated(bronze.order_reviews, "order_id").select("order_id")
+    reviews = bronze.order_reviews.withColumn("parsed_cre_date", parse_review_time(F.col("review_creation_date"))).drop(
+        "review_creation_date"
     )
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in reviews.schema.fields]
+    unmatched = several.where(F.col("order_id").isNull()).select(*nothing)
+    return reviews.join(several, "order_id", "left_semi").select(reviews.columns).unionByName(unmatched)
 
 
 def multi_review_latest(bronze: Bronze) -> DataFrame:

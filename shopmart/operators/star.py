@@ -54,8 +54,8 @@ def star_payment_behavior(bronze: Bronze) -> DataFrame:
     payments_n = bronze.order_payments.groupBy("order_id").agg(F.count("*").alias("payments_n"))
     items = _items_by_category(bronze, [], F.count("*").alias("n_items"))
     totals = item_totals(bronze.order_items).join(payment_totals(bronze.order_payments), "order_id")
-    cost = (F.col("calculated_order_cost") * F.col("payments_n")).cast(MONEY)
-    paid = (F.col("total_payment_value") * F.col("total_items_quantity")).cast(MONEY)
+    cost = F.col("calculated_order_cost") * F.col("payments_n")
+    paid = F.col("total_payment_value") * F.col("total_items_quantity")
     orders = (
         bronze.orders.select("order_id", "order_status")
         .join(totals, "order_id")

@@ -38,6 +38,12 @@ def test_latest_of_several_reviews(shop):
     shop.review("r1", "o1", 1, "1/2/2018 3:04").review("r2", "o1", 5, "1/3/2018 3:04").review("r3", "o2", 4, "1/3/2018 3:04")
     assert [r["review_score"] for r in rows(quality.multi_review_latest(shop.bronze()))] == [5]
     assert sorted(r["review_id"] for r in rows(quality.multi_review_orders(shop.bronze()))) == ["r1", "r2"]
+    # Two reviews without an order leave one empty row, as an outer join does.
+    shop.review("r4", None, 1, "1/3/2018 3:04").review("r5", None, 2, "1/3/2018 3:04")
+    found = rows(quality.multi_review_orders(shop.bronze()))
+    assert sorted(str(r["review_id"]) for r in found) == ["None", "r1", "r2"]
+    latest = by(quality.multi_review_latest(shop.bronze()), "order_id")
+    assert latest[None]["review_score"] is None and latest["o1"]["review_score"] == 5
 
 
 def test_rules_report_failures_once_per_rule(spark):

@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import LongType, StructField, StructType
 
 # One task gets record batches of documents and yields batches of results.
@@ -21,12 +21,17 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.selectExpr("doc_id", "text", *more)
 
 
-def map_rows(df: DataFrame, work: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
-    """Runs `work` once per task on its record batches, with this package importable there."""
-    environment = df.sparkSession.sparkContext.environment
+def importable(spark: SparkSession) -> None:
+    """Lets the Python workers of functions made from now on import this package."""
+    environment = spark.sparkContext.environment
     known = environment.get("PYTHONPATH", "").split(os.pathsep)
     if ROOT not in known:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, [*known, ROOT]))
+
+
+def map_rows(df: DataFrame, work: Callable[[Batches], Batches], schema: str | StructType) -> DataFrame:
+    """Runs `work` once per task on its record batches."""
+    importable(df.sparkSession)
     return df.mapInArrow(work, schema)
 
 

@@ -15,6 +15,7 @@ from shopmart.llm import (
     secrets,
     sharding,
     simhash_dedup,
+    substring_dedup,
     token_counts,
 )
 
@@ -47,6 +48,10 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.find_secrets(_table(spark, sf_dir, "documents"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(_table(spark, sf_dir, "documents"))
 
@@ -78,6 +83,7 @@ QUERIES: dict[str, Query] = {
         op3_personal_data,
         op4_best_fit_packing,
         op5_secret_scan,
+        op6_suffix_array_dedup,
         op7_sharding,
         op8_benchmark_decontamination,
         op9_compression_classifier,

@@ -124,12 +124,12 @@ class GuessCost:
             found = _DATE.match(value, start)
             if found:
                 dates.setdefault(found.end(), []).append(start)
+        # Cheapest cuts that end in brute force, and that end in another part.
+        force, known = [math.inf] * (n + 1), [math.inf] * (n + 1)
         best = [0.0] * (n + 1)
-        brute = [False] * (n + 1)
         for end in range(1, n + 1):
-            # One more character of brute force; a new stretch of it is a new part.
-            price = best[end - 1] + _CHAR + (0.0 if brute[end - 1] or end == 1 else _PART)
-            by_force = True
+            # One more character of brute force, or a new stretch of it.
+            force[end] = min(force[end - 1], best[end - 1] + (_PART if end > 1 else 0.0)) + _CHAR
             options = []
             for start in range(max(0, end - self.longest), end - 1):
                 word = self._word(value[start:end])
@@ -145,10 +145,8 @@ class GuessCost:
                 if value[end - size : end] == value[end - 2 * size : end - size]:
                     options.append((end - size, math.log10(2)))
             for start, cost in options:
-                total = best[start] + cost + (_PART if start else 0.0)
-                if total < price:
-                    price, by_force = total, False
-            best[end], brute[end] = price, by_force
+                known[end] = min(known[end], best[start] + cost + (_PART if start else 0.0))
+            best[end] = min(force[end], known[end])
         return best[n]
 
 

@@ -83,7 +83,8 @@ def _blocks(radius: int) -> list[tuple[int, int]]:
 
 def _block_value(radius: int) -> Column:
     values = [
-        F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1).cast("long")) for at, width in _blocks(radius)
+        F.shiftrightunsigned("fp", at).bitwiseAND(F.lit((1 << width) - 1).cast("long")) if width < BITS else F.col("fp")
+        for at, width in _blocks(radius)
     ]
     return F.array(*values)
 
@@ -241,20 +242,33 @@ def group(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS, tile
 
 
 def keep_first(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS, tile: int = TILE) -> DataFrame:
-    """One row of `docs` for each class: one with the smallest doc_id; columns as in `docs`."""
-    stored = cut_lineage(with_fingerprint(docs, "v_fp", size))
-    rows = stored.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("v_fp").alias("fp"))
-    named = classes(rows, radius, tile).where("fp = head").select(F.col("fp").alias("v_head"), "component_id")
-    first = stored.join(
-        named, (F.col("v_fp") == F.col("v_head")) & F.col("doc_id").cast("long").eqNullSafe(F.col("component_id"))
+    """One row of `docs` for each class: one with the smallest doc_id; columns as in `docs`.
+
+    Of several texts under that id the smallest by length and hash stays, and
+    of repeated rows one.
+    """
+    hashed = with_fingerprint(docs, "v_fp", size).withColumns(
+        {"v_size": F.octet_length("text"), "v_hash": F.xxhash64("text"), "v_id": F.col("doc_id").cast("long")}
     )
-    # Repeated rows, and other texts under the same id and fingerprint, leave one.
-    order = F.struct(F.octet_length("text"), F.xxhash64("text"))
-    best = first.groupBy("v_head").agg(F.min(order).alias("v_order"), F.count("*").alias("v_n"))
-    single = best.where("v_n = 1").select("v_head")
-    several = best.where("v_n > 1")
-    unique = first.join(single, "v_head", "left_semi").select(*docs.columns)
-    repeated = (
-        first.join(several, "v_head").where(order.eqNullSafe(F.col("v_order"))).dropDuplicates(["v_head"]).select(*docs.columns)
+    stored = cut_lineage(hashed)
+    keys = ["v_fp", "v_size", "v_hash"]
+    light = stored.select("v_id", *keys)
+    heads = classes(light.select(F.col("v_id").alias("doc_id"), F.col("v_fp").alias("fp")), radius, tile).where("fp = head")
+    candidates = light.join(
+        heads, (light["v_fp"] == heads["fp"]) & light["v_id"].eqNullSafe(heads["component_id"]), "left_semi"
     )
-    return unique.unionByName(repeated)
+    counted = candidates.groupBy("v_id", *keys).agg(F.count("*").alias("n"))
+    chosen = counted.groupBy("v_fp").agg(F.min(F.struct("v_size", "v_hash", "v_id", "n")).alias("best"))
+    kept = cut_lineage(chosen.select(F.col("v_fp").alias("k_fp"), "best.*"))
+
+    def rows_of(kept: DataFrame) -> DataFrame:
+        same = stored["v_fp"] == kept["k_fp"]
+        for column in ("v_size", "v_hash", "v_id"):
+            same &= stored[column].eqNullSafe(kept[column])
+        return stored.join(kept, same, "left_semi")
+
+    first = rows_of(kept.where("n = 1")).select(*docs.columns)
+    repeated = kept.where("n > 1")
+    if repeated.isEmpty():
+        return first
+    return first.unionByName(rows_of(repeated).dropDuplicates(["v_fp"]).select(*docs.columns))

@@ -3,6 +3,7 @@
 BENCH_SF_DIR  folder of the sample tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_QUERIES comma-separated names instead of the headline list
+BENCH_LAYOUTS if set, both storage layouts are compared too, on stderr
 """
 
 from __future__ import annotations
@@ -78,6 +79,12 @@ def main() -> None:
             }
         )
     )
+    if os.environ.get("BENCH_LAYOUTS"):
+        from shopmart.plans.layouts import silver_vs_star
+        from shopmart.sources.sample import sample_bronze
+
+        for row in silver_vs_star(spark, sample_bronze(spark, folder)).collect():
+            print(row.asDict(), file=sys.stderr)
     spark.stop()
 
 

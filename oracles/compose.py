@@ -36,17 +36,27 @@ def _macro(sql: str, name: str, build) -> str:
     return sql
 
 
-def query(sql: str) -> str:
+def query(sql: str, swap: dict[str, str] | None = None) -> str:
+    """`swap` lets all parts read another part instead of one, which itself may read the original."""
+    swap = swap or {}
+
+    def text_of(name: str) -> str:
+        return PARTS[name] if name in swap.values() else swapped(PARTS[name])
+
+    def swapped(text: str) -> str:
+        return _NAME.sub(lambda m: f"{{{swap.get(m[1], m[1])}}}", text)
+
+    sql = swapped(sql)
     ordered: list[str] = []
 
     def visit(text: str) -> None:
         for name in _NAME.findall(text):
             if name in PARTS and name not in ordered:
-                visit(PARTS[name])
+                visit(text_of(name))
                 ordered.append(name)
 
     visit(sql)
-    ctes = ",\n".join(f"p_{n} as ({PARTS[n]})" for n in ordered)
+    ctes = ",\n".join(f"p_{n} as ({text_of(n)})" for n in ordered)
     own = re.match(r"\s*with\s+", sql)
     if own and ctes:
         sql = sql[own.end() :]

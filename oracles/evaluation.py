@@ -49,7 +49,7 @@ group by 1
 part(
     "buckets",
     """
-select seller_id, churn_6m, substr(md5(concat_ws('-', '6199', seller_id)), 1, 4) bucket from {labelled_sellers}
+select seller_id, churn_6m, substr(md5(concat_ws('-', '6199', seller_id)), 1, 16) bucket from {labelled_sellers}
 """,
 )
 part(
@@ -89,7 +89,7 @@ select churn_6m "value", count(*) "rows", DIV(count(*), (select count(*) from {l
 from {labelled_sellers} group by 1"""),
     "profile_positive_share": query("select DIV(count(*) filter (ltv_6m > 0.1), count(*)) share_above from {ltv_features}"),
     "ml_train_test_split": query("""
-select seller_id, b.churn_6m, case when bucket < '4000' then 'test' else 'train' end split,
+select seller_id, b.churn_6m, case when bucket < '4000000000000000' then 'test' else 'train' end split,
   case when bucket <= cut then 'train' else 'test' end stratified_split
 from {buckets} b join {cuts} c on c.churn_6m = b.churn_6m"""),
     "ml_class_ratio": query("""
@@ -97,17 +97,19 @@ select negative, positive, DIV(negative, positive) imbalance_ratio, DIV(positive
 from {class_counts}"""),
     "ml_confusion_matrix": query("""
 select churn_6m "label", prediction, count(*) "rows" from {scored} group by 1, 2"""),
-    "ml_roc_curve": query("select threshold, DIV(fp, n) fpr, DIV(tp, p) tpr from {thresholds}"),
-    "ml_pr_curve": query("select threshold, DIV(tp, tp + fp) \"precision\", DIV(tp, p) recall from {thresholds}"),
+    "ml_roc_curve": query("select threshold, DIV(fp, n) fpr, DIV(tp, p) tpr from {thresholds} union all select null, 0, 0"),
+    "ml_pr_curve": query("select threshold, DIV(tp, tp + fp) \"precision\", DIV(tp, p) recall from {thresholds} union all select null, 1, 0"),
     "ml_metrics": query("""
 with rates as (select count(*) filter (churn_6m = 1 and prediction = 1) tp, count(*) filter (prediction = 1) called,
     count(*) filter (churn_6m = 1) pos from {scored}),
   pairs as (select DIV(sum(case when a.score > b.score then 1.0 when a.score = b.score then 0.5 else 0 end), count(*)) auc
     from {scored} a join {scored} b on a.churn_6m = 1 and b.churn_6m = 0),
-  steps as (select sum(DIV(tp - coalesce(before, 0), p) * DIV(tp, tp + fp)) ap
-    from (select *, lag(tp) over (order by threshold desc) before from {thresholds}))
+  steps as (select sum(DIV(tp - coalesce(before, 0), p) * DIV(tp, tp + fp)) ap,
+      sum(DIV(tp - coalesce(before, 0), p) * (DIV(tp, tp + fp) + coalesce(DIV(before, before + fp_before), 1)) / 2) area
+    from (select *, lag(tp) over (order by threshold desc) before, lag(fp) over (order by threshold desc) fp_before
+      from {thresholds}))
 select DIV(tp, called) "precision", DIV(tp, pos) recall, DIV(tp * 2, called + pos) f1, RND(auc, 6) roc_auc,
-  RND(ap, 6) average_precision
+  RND(ap, 6) average_precision, RND(area, 6) pr_auc
 from rates cross join pairs cross join steps"""),
     "ml_probability_recalibration": query("""
 select seller_id, score, DIV(score, score + (cast(1 as double) - score) / DIV(negative, positive)) calibrated

@@ -136,12 +136,12 @@ select * replace (cast(calculated_order_cost as double) as calculated_order_cost
 
 ORACLES: dict[str, str] = {
     "silver_items_agg": query("""
-select order_id, 0 segment, cast(cost as double) calculated_order_cost, quantity total_items_quantity, item_list
+select order_id, cast(cost as double) calculated_order_cost, quantity total_items_quantity, item_list
 from {costs} join {item_lists} using (order_id)"""),
     "silver_payments_agg": query("""
-select order_id, 0 segment, cast(paid as double) total_payment_value, payment_list
+select order_id, cast(paid as double) total_payment_value, payment_list
 from {paid} join {payment_lists} using (order_id)"""),
-    "silver_sellers_agg": query("select order_id, 0 segment, seller_list from {seller_lists}"),
+    "silver_sellers_agg": query("select order_id, seller_list from {seller_lists}"),
     "silver_core_order": query("select * from {core}"),
     "silver_latest_review": query("select * from {review}"),
     "silver_payment_match": query("""
@@ -149,7 +149,7 @@ select order_id, calculated_order_cost, total_payment_value, payment_match_flag
     "silver_delivery_flags": query("""
 select order_id, is_delivered_on_time, num_early_delivery_days, date_validity from {flat_facts}"""),
     "silver_denormalized_orders": query("""
-select f.*, 0 segment, item_list, payment_list, seller_list from {flat_facts} f
+select f.*, item_list, payment_list, seller_list from {flat_facts} f
 left join {item_lists} using (order_id) left join {payment_lists} using (order_id)
 left join {seller_lists} using (order_id)"""),
     "silver_items_exploded": query("""
@@ -163,5 +163,6 @@ select * from {order_sellers} where order_id in (select order_id from {b_orders}
     "bronze_csv_roundtrip": query("""
 select * replace (cast(price as double) as price, cast(freight_value as double) as freight_value)
 from {order_items}"""),
-    "silver_incremental_append": query("select * from {flat_facts}"),
+    "silver_incremental_append": query("""
+select * from {flat_facts} union all by name select null order_id where exists (select 1 from {b_orders})"""),
 }

@@ -11,6 +11,8 @@ WORD_BREAKS = r"\t\n\r\[\](){}/|\\<>!?@\"^#$&~_,.:;*%+\-"
 REVIEW_FORMAT = "M/d/yyyy H:mm"
 
 MONEY = "decimal(18,2)"
+# Single amounts before they are summed; only sums are rounded.
+EXACT = "decimal(28,8)"
 
 
 def title_case(text: Column) -> Column:

@@ -15,9 +15,6 @@ BAD_SCORE = 2
 CANCELED = "canceled"
 HORIZON_MONTHS = 6
 RECENT_DAYS = 180
-# Items of an order up to which its sellers are paired with its products.
-PAIR_LIMIT = 1_000
-UNKNOWN = "\u0000"
 
 # Model inputs.
 LTV_FEATURES = (
@@ -214,80 +211,24 @@ def _seller_sums(rows: DataFrame, observed: Column) -> DataFrame:
 def seller_variety(silver: Silver, orders: DataFrame, sellers: DataFrame) -> DataFrame:
     """Distinct products and categories in the given orders of every seller.
 
-    Pairing sellers with products order by order is fine as long as no order
-    is large, since each item then adds at most `PAIR_LIMIT` pairs; the size
-    of the largest order is measured, and larger ones go another way.
+    A seller is credited with all products of an order it took part in, so
+    the result is defined by the distinct (seller, product) pairs. Sellers and
+    products of an order are made distinct before they meet. The cost is one
+    row per order, distinct seller and distinct product, combined before it is
+    shuffled; an order of s sellers and p products costs s * p.
     """
-    products = silver.mix("items", ["product_id", "product_category"], []).join(orders, "order_id")
-    members = sellers.select("order_id", F.col("seller_id").alias("variety_seller"))
-    sizes = silver.mix("items", [], [F.count("*").alias("n")])
-    if (sizes.agg(F.max("n")).first()[0] or 0) <= PAIR_LIMIT:
-        return _variety(_pairs(members, products))
-    return _variety_with_large_orders(members, products)
-
-
-def _pairs(members: DataFrame, products: DataFrame) -> DataFrame:
-    met = members.join(products, "order_id")
-    return met.select("variety_seller", "product_id", "product_category").distinct()
-
-
-def _variety(pairs: DataFrame) -> DataFrame:
-    """Counts per seller in two levels; a product belongs to one category."""
-    by_category = pairs.groupBy("variety_seller", "product_category").agg(F.count("product_id").alias("products"))
-    return by_category.groupBy("variety_seller").agg(
-        F.sum("products").alias("unique_products_bought"),
-        F.count("product_category").alias("unique_categories_bought"),
-    )
-
-
-def _variety_with_large_orders(members: DataFrame, products: DataFrame) -> DataFrame:
-    """The same counts without pairing the sellers and products of large orders.
-
-    Sellers that took part in the same large orders share the products of
-    these orders, so those are counted once per such group of sellers. What a
-    seller met in small orders is added where the group does not have it yet.
-    A group is recognised by the number of its orders and two 64-bit sums over
-    their hashed ids.
-    """
-    # A value for the unknown seller, so that it can be joined on.
-    members = members.withColumn("variety_seller", F.coalesce("variety_seller", F.lit(UNKNOWN)))
-    sizes = products.groupBy("order_id").agg(F.count("*").alias("n"))
-    large = sizes.where(F.col("n") > PAIR_LIMIT).select("order_id")
-    in_large = members.join(large, "order_id", "left_semi")
-    mark = F.xxhash64("order_id", F.lit("mark")).cast("decimal(20,0)")
-    groups = in_large.groupBy("variety_seller").agg(
-        F.concat_ws("/", F.count("*"), F.bit_xor(F.xxhash64("order_id")), F.sum(mark)).alias("seller_group")
-    )
-    # One seller stands for all of its group when the group's orders are looked up.
-    speakers = groups.groupBy("seller_group").agg(F.min("variety_seller").alias("variety_seller"))
-    group_orders = speakers.join(in_large, "variety_seller").select("seller_group", "order_id")
-    shared = (
-        group_orders.join(products, "order_id").select("seller_group", "product_id", "product_category").distinct()
-    )
-    shared_categories = shared.select("seller_group", "product_category").distinct()
-
-    own = _pairs(members, products.join(large, "order_id", "left_anti")).join(groups, "variety_seller", "left")
-    new_products = own.join(shared, ["seller_group", "product_id"], "left_anti").select("variety_seller", "product_id")
-    new_categories = own.select("variety_seller", "seller_group", "product_category").distinct().join(
-        shared_categories, ["seller_group", "product_category"], "left_anti"
-    )
-
-    def count(df: DataFrame, key: str, column: str, name: str) -> DataFrame:
-        return df.groupBy(key).agg(F.count(column).alias(name))
-
-    sellers = members.select("variety_seller").distinct().join(groups, "variety_seller", "left")
-    counted = (
-        sellers.join(count(shared, "seller_group", "product_id", "p"), "seller_group", "left")
-        .join(count(shared_categories, "seller_group", "product_category", "c"), "seller_group", "left")
-        .join(count(new_products, "variety_seller", "product_id", "own_p"), "variety_seller", "left")
-        .join(count(new_categories, "variety_seller", "product_category", "own_c"), "variety_seller", "left")
-        .fillna(0, ["p", "c", "own_p", "own_c"])
-    )
-    return counted.select(
-        F.nullif(F.col("variety_seller"), F.lit(UNKNOWN)).alias("variety_seller"),
-        (F.col("p") + F.col("own_p")).alias("unique_products_bought"),
-        (F.col("c") + F.col("own_c")).alias("unique_categories_bought"),
-    )
+    orders = orders.distinct()
+    members = sellers.select("order_id", F.col("seller_id").alias("variety_seller")).distinct()
+
+    def met(column: str, name: str) -> DataFrame:
+        sold = silver.mix("items", [column], []).where(F.col(column).isNotNull()).join(orders, "order_id", "left_semi")
+        pairs = members.join(sold, "order_id").select("variety_seller", column).distinct()
+        return pairs.groupBy("variety_seller").agg(F.count("*").alias(name))
+
+    products = met("product_id", "unique_products_bought")
+    categories = met("product_category", "unique_categories_bought").withColumnRenamed("variety_seller", "s")
+    # A seller with categories has products.
+    return products.join(categories, products["variety_seller"].eqNullSafe(categories["s"]), "left").drop("s")
 
 
 def churn_label(features: DataFrame) -> DataFrame:

@@ -7,9 +7,10 @@ in the seller table. None of this needs the exploded rows: with n items in a
 category and m payments of a type, an order stands for n * m rows, so each
 figure is a weighted sum over small per-order counts (`Silver.mix`).
 
-A distinct count of orders is a row count after that step, and a distinct
-count of persons takes one more aggregation level, so hot sellers, categories
-or persons are always combined before a shuffle.
+Orders and persons are counted distinct: an order that is stored twice adds to
+the sums as often, as it does in the exploded rows, but counts once. Spark
+deduplicates (keys, id) before it counts, so hot sellers, categories or
+persons are always combined before a shuffle.
 """
 
 from __future__ import annotations
@@ -19,7 +20,6 @@ from pyspark.sql import functions as F
 
 from shopmart.functions.columns import count_where, money, month_label, month_start, on_time, ratio
 from shopmart.functions.columns import early_days as early_days_of
-from shopmart.functions.columns import months_between_starts
 from shopmart.operators.silver import Silver, with_first_state
 
 DELIVERED = "delivered"
@@ -47,20 +47,13 @@ def sales_kpi(silver: Silver) -> DataFrame:
 def sales_kpi_of(orders: DataFrame, keys: list[str]) -> DataFrame:
     """KPIs from one row per (order, category) that stands for `n` items."""
     n = F.col("n")
-    persons = orders.groupBy(*keys, "customer_unique_id").agg(
-        F.sum(n * F.col("calculated_order_cost")).alias("sales"),
-        F.count("*").alias("orders"),
-        F.sum(n * F.col("num_early_delivery_days")).alias("early"),
-        F.sum(n * F.col("is_delivered_on_time")).alias("on_time"),
-        F.sum(n * F.col("review_score")).alias("review"),
-    )
-    return persons.groupBy(*keys).agg(
-        money(F.sum("sales")).alias("total_sales"),
-        F.count("customer_unique_id").alias("total_customers"),
-        F.sum("orders").alias("total_orders"),
-        money(F.sum("early")).alias("total_early_delivery_days"),
-        F.sum("on_time").alias("total_on_time_delivery"),
-        F.sum("review").alias("total_review_score"),
+    return orders.groupBy(*keys).agg(
+        money(F.sum(n * F.col("calculated_order_cost"))).alias("total_sales"),
+        F.count_distinct("customer_unique_id").alias("total_customers"),
+        F.count_distinct("order_id").alias("total_orders"),
+        money(F.sum(n * F.col("num_early_delivery_days"))).alias("total_early_delivery_days"),
+        F.sum(n * F.col("is_delivered_on_time")).alias("total_on_time_delivery"),
+        F.sum(n * F.col("review_score")).alias("total_review_score"),
     )
 
 
@@ -80,7 +73,7 @@ def customer_ltv_of(orders: DataFrame) -> DataFrame:
         orders.groupBy("customer_unique_id")
         .agg(
             F.min_by("customer_state", F.struct("order_purchase_timestamp", "order_id")).alias("primary_state"),
-            count_where(delivered).alias("total_orders"),
+            F.count_distinct(F.when(delivered, F.col("order_id"))).alias("total_orders"),
             money(F.sum(F.when(delivered, F.col("calculated_order_cost")))).alias("historical_ltv"),
             F.datediff(F.max(F.when(delivered, day)), F.min(F.when(delivered, day))).alias("days_since_first_purchase"),
         )
@@ -115,6 +108,7 @@ def seller_performance(silver: Silver) -> DataFrame:
     ).where(F.col("order_status") == DELIVERED)
     sellers = silver.mix("sellers", ["seller_id", "seller_state"], [F.count("*").alias("n_sellers")])
     pairs = sellers.join(items, "order_id").select(
+        "order_id",
         "seller_id",
         "seller_state",
         "product_category",
@@ -132,7 +126,7 @@ def seller_performance_of(pairs: DataFrame, keys: list[str]) -> DataFrame:
     return pairs.groupBy(*keys).agg(
         F.sum(n).alias("total_order_items_sold"),
         money(F.sum("revenue")).alias("total_revenue_contribution"),
-        ratio(F.sum(n * F.col("is_delivered_on_time")), F.count("*"), 4).alias("on_time_delivery_rate"),
+        ratio(F.sum(n * F.col("is_delivered_on_time")), F.count_distinct("order_id"), 4).alias("on_time_delivery_rate"),
         ratio(F.sum(n * score), F.sum(F.when(score.isNotNull(), n)), 2).alias("average_review_score"),
     )
 
@@ -166,13 +160,13 @@ def payment_behavior_of(pairs: DataFrame) -> DataFrame:
     cost, paid = F.col("calculated_order_cost"), F.col("total_payment_value")
     mismatches = F.sum(n * F.col("mismatch"))
     return pairs.groupBy("payment_type", "order_status", "product_category").agg(
-        F.count("*").alias("total_dist_orders"),
+        F.count_distinct("order_id").alias("total_dist_orders"),
         F.sum(n).alias("total_order_items"),
         money(F.sum(n * cost)).alias("total_gmv"),
         money(F.sum(n * (cost - paid))).alias("payment_missing_value"),
         F.sum(F.col("n_items") * F.col("installments")).cast("double").alias("total_installments"),
         mismatches.alias("mismatch_transactions_count"),
-        ratio(mismatches, F.count("*"), 4).alias("payment_mismatch_rate"),
+        ratio(mismatches, F.count_distinct("order_id"), 4).alias("payment_mismatch_rate"),
         F.sum(n * F.col("review_score")).cast("double").alias("total_review_score"),
     )
 
@@ -305,7 +299,7 @@ def customer_metrics(summary: DataFrame, as_of: str = "2018-09-03") -> DataFrame
         summary.where(F.col("order_status") == DELIVERED)
         .groupBy("customer_unique_id", "primary_state")
         .agg(
-            F.count("*").alias("total_orders"),
+            F.count_distinct("order_id").alias("total_orders"),
             money(F.sum(F.col("order_value").cast("decimal(18,2)"))).alias("total_spent"),
             F.min("purchase_date").alias("first_purchase_date"),
             last.alias("last_purchase_date"),

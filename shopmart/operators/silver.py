@@ -9,9 +9,9 @@ Two forms of the same data:
   the children as arrays of structs next to the scalars, so that readers need
   no join.
 
-The reference data model keeps one row per order. An order larger than
-`SEGMENT_ROWS` is stored as several rows numbered by `segment`, because an
-array must fit into one row of one task; segment 0 holds the scalars' row.
+The nested table has exactly one row per stored order row, and an array holds
+all children of the order, whatever their numbers. An order whose children do
+not fit into one row belongs in the flat parts, which never gather them.
 """
 
 from __future__ import annotations
@@ -23,12 +23,11 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.functions.columns import MONEY, early_days, label, on_time, parse_review_time, title_case
+from shopmart.functions.columns import EXACT, MONEY, early_days, label, on_time, parse_review_time, title_case
 from shopmart.functions.sizes import small_side
 from shopmart.session import cut_lineage
 from shopmart.sources.bronze import Bronze
 
-SEGMENT_ROWS = 10_000
 MATCH_TOLERANCE = 0.1
 
 # Struct fields of the nested arrays; the first one gives the order.
@@ -108,18 +107,16 @@ def seller_rows(order_items: DataFrame, sellers: DataFrame) -> DataFrame:
 
 def item_totals(order_items: DataFrame) -> DataFrame:
     """Cost and size of every order; sums are combined before the shuffle."""
-    paid_for = F.col("price").cast(MONEY) + F.col("freight_value").cast(MONEY)
+    paid_for = F.col("price").cast(EXACT) + F.col("freight_value").cast(EXACT)
     return order_items.groupBy("order_id").agg(
         F.round(F.sum(paid_for), 2).cast(MONEY).alias("calculated_order_cost"),
         F.count("*").alias("total_items_quantity"),
-        F.max("order_item_id").alias("last_item"),
     )
 
 
 def payment_totals(order_payments: DataFrame) -> DataFrame:
     return order_payments.groupBy("order_id").agg(
-        F.round(F.sum(F.col("payment_value").cast(MONEY)), 2).cast(MONEY).alias("total_payment_value"),
-        F.max("payment_sequential").alias("last_payment"),
+        F.round(F.sum(F.col("payment_value").cast(EXACT)), 2).cast(MONEY).alias("total_payment_value"),
     )
 
 
@@ -198,14 +195,18 @@ def date_validity() -> Column:
     return F.when(broken, "invalid").otherwise("valid")
 
 
-def order_facts(bronze: Bronze, *extra: Column) -> DataFrame:
-    """All scalars of the silver table, one row per order."""
+def order_facts(
+    bronze: Bronze, items: DataFrame | None = None, payments: DataFrame | None = None, *extra: str
+) -> DataFrame:
+    """All scalars of the silver table, one row per order, and `extra` columns of the totals given."""
+    items = item_totals(bronze.order_items) if items is None else items
+    payments = payment_totals(bronze.order_payments) if payments is None else payments
     estimated, delivered = F.col("order_estimated_delivery_date"), F.col("order_delivered_customer_date")
     cost, paid = F.col("calculated_order_cost"), F.col("total_payment_value")
     core = core_order(bronze.orders, bronze.customers)
     joined = (
-        core.join(item_totals(bronze.order_items), "order_id", "left")
-        .join(payment_totals(bronze.order_payments), "order_id", "left")
+        core.join(items, "order_id", "left")
+        .join(payments, "order_id", "left")
         .join(latest_review(bronze.order_reviews), "order_id", "left")
     )
     none = F.lit(0).cast(MONEY)
@@ -228,15 +229,8 @@ def order_facts(bronze: Bronze, *extra: Column) -> DataFrame:
 
 
 def exploded(table: DataFrame, part: str, order_columns: Sequence[str] = ()) -> DataFrame:
-    """One row per element of an array of the nested table; empty arrays give none.
-
-    Sellers get the number of the item they belong to, which is their position.
-    """
-    if part != "sellers":
-        return table.select("order_id", *order_columns, F.inline(ARRAYS[part]))
-    number = (F.col("segment") * SEGMENT_ROWS + F.col("position") + 1).cast("long")
-    rows = table.select("order_id", "segment", *order_columns, F.posexplode(ARRAYS[part]).alias("position", "seller"))
-    return rows.select("order_id", *order_columns, number.alias("order_item_id"), "seller.*")
+    """One row per element of an array of the nested table; empty arrays give none."""
+    return table.select("order_id", *order_columns, F.inline(ARRAYS[part]))
 
 
 def _grouped(rows: DataFrame, keys: list[str], measures: Sequence[Column]) -> DataFrame:
@@ -264,9 +258,9 @@ class Silver:
 
     @classmethod
     def from_table(cls, table: DataFrame) -> Silver:
-        scalars = [c for c in table.columns if c not in (*ARRAYS.values(), "segment", "_ingest_ts")]
+        scalars = [c for c in table.columns if c not in (*ARRAYS.values(), "_ingest_ts")]
         parts = {part: exploded(table, part) for part in ARRAYS}
-        return cls(orders=table.where("segment = 0").select(*scalars), **parts, table=table)
+        return cls(orders=table.select(*scalars), **parts, table=table)
 
     def stored(self) -> Silver:
         """The flat parts written once, for jobs that build many tables."""
@@ -284,8 +278,14 @@ class Silver:
         become products of small per-order counts, and a very large order is
         combined to a few rows before it is shuffled or joined.
         """
-        if self.table is not None:
+        if self.table is not None and order_columns:
             return _grouped(exploded(self.table, part, order_columns), ["order_id", *order_columns, *keys], measures)
+        if self.table is not None:
+            # An order stored twice holds its children twice; every copy gives the same groups.
+            copies = self.table.select("order_id", ARRAYS[part], F.monotonically_increasing_id().alias("copy"))
+            by_copy = _grouped(exploded(copies, part, ["copy"]), ["order_id", "copy", *keys], measures)
+            names = [c for c in by_copy.columns if c not in ("order_id", "copy", *keys)]
+            return _grouped(by_copy, ["order_id", *keys], [F.max_by(c, "copy").alias(c) for c in names])
         per_order = _grouped(getattr(self, part), ["order_id", *keys], measures)
         if not order_columns:
             return per_order
@@ -295,69 +295,39 @@ class Silver:
 # ---------------------------------------------------------------- nested table
 
 
-def segment_of(number: Column) -> Column:
-    """Which stored row of an order a child with this running number belongs to."""
-    return F.floor((number - 1) / SEGMENT_ROWS).cast("int")
-
-
 def _sorted_structs(columns: Sequence[str]) -> Column:
     """Child rows as an array in the order of the first column."""
     return F.sort_array(F.collect_list(F.struct(*columns)))
 
 
-def items_and_sellers_agg(bronze: Bronze) -> DataFrame:
-    """Item and seller arrays per order and segment, with the segment's cost and size.
+def items_agg(bronze: Bronze) -> DataFrame:
+    """Item array per order, with the order's cost and size of the raw items.
 
-    Both arrays come from the same rows, so they are collected and sorted once
-    and taken apart afterwards. Sellers keep one element per item, in item
-    order.
+    A product that is listed twice repeats elements of the array, not amounts.
     """
-    items = item_rows(
-        bronze.order_items.select("*", F.col("seller_id").alias("item_seller")),
-        bronze.products,
-        bronze.product_category_name_translation,
-    )
-    known = seller_labels(bronze.sellers)
-    rows = items.join(known, items["item_seller"] == known["seller_id"], "left")
+    rows = item_rows(bronze.order_items, bronze.products, bronze.product_category_name_translation)
+    arrays = rows.groupBy("order_id").agg(_sorted_structs(ITEM_FIELDS).alias("order_items_array"))
+    return item_totals(bronze.order_items).join(arrays, "order_id")
 
-    def elements(fields: Sequence[str]) -> Column:
-        return F.transform("children", lambda child: F.struct(*[child[f].alias(f) for f in fields]))
 
-    return (
-        rows.groupBy("order_id", segment_of(F.col("order_item_id")).alias("segment"))
-        .agg(
-            F.round(F.sum(F.col("price") + F.col("freight_value")), 2).cast(MONEY).alias("calculated_order_cost"),
-            F.count("*").alias("total_items_quantity"),
-            _sorted_structs([*ITEM_FIELDS, *known.columns]).alias("children"),
-        )
-        .withColumn("order_items_array", elements(ITEM_FIELDS))
-        .withColumn("sellers_array", elements(known.columns))
-        .drop("children")
-    )
+def sellers_agg(bronze: Bronze) -> DataFrame:
+    """Seller array per order: one element per item, in item order and with its number."""
+    rows = seller_rows(bronze.order_items, bronze.sellers)
+    fields = [c for c in rows.columns if c != "order_id"]
+    return rows.groupBy("order_id").agg(_sorted_structs(fields).alias("sellers_array"))
 
 
 def payments_agg(order_payments: DataFrame) -> DataFrame:
-    """Payment array per order and segment, with the segment's total."""
+    """Payment array per order, with the order's total."""
     rows = payment_rows(order_payments)
-    return rows.groupBy("order_id", segment_of(F.col("payment_sequential")).alias("segment")).agg(
+    return rows.groupBy("order_id").agg(
         F.round(F.sum("payment_value"), 2).cast(MONEY).alias("total_payment_value"),
         _sorted_structs(PAYMENT_FIELDS).alias("payments_array"),
     )
 
 
 def denormalized_orders(bronze: Bronze) -> DataFrame:
-    """The nested silver table, to be stored; see the module text for `segment`.
-
-    Scalars are repeated on every segment and joined on (order_id, segment),
-    so no join key gathers all children of one large order.
-    """
-    last_segment = F.greatest(
-        F.coalesce(segment_of(F.col("last_item")), F.lit(0)),
-        F.coalesce(segment_of(F.col("last_payment")), F.lit(0)),
-    )
-    facts = order_facts(bronze, last_segment.alias("last_segment"))
-    spread = facts.withColumn("segment", F.explode(F.sequence(F.lit(0), "last_segment"))).drop("last_segment")
-    items = items_and_sellers_agg(bronze).drop("calculated_order_cost", "total_items_quantity")
-    payments = payments_agg(bronze.order_payments).drop("total_payment_value")
-    nested = spread.join(items, ["order_id", "segment"], "left").join(payments, ["order_id", "segment"], "left")
+    """The nested silver table, to be stored; all its joins and aggregates are by order."""
+    children = items_agg(bronze).join(sellers_agg(bronze), "order_id", "left")
+    nested = order_facts(bronze, children, payments_agg(bronze.order_payments), *ARRAYS.values())
     return nested.withColumn("_ingest_ts", F.current_timestamp())

@@ -10,24 +10,11 @@ from pyspark.sql import functions as F
 from shopmart.sources.bronze import Bronze
 from shopmart.sources.sample_mapping import DIRTY, MAPPING, in_dialect
 
-# An order with more lines than this is numbered in parts.
-MAX_LINES_PER_WINDOW = 1_000_000
 PART_RANGE = 1_000
 
-# Lazy plans and one measured number per (application, folder); no rows.
-_plans: dict[tuple[str, str], Bronze] = {}
-
-
-def number_by_window(lineitem: DataFrame) -> DataFrame:
-    """Item number by one window per order; fit for orders of checked size."""
-    order = Window.partitionBy("l_orderkey").orderBy(
-        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
-    )
-    return lineitem.withColumn("item_no", F.row_number().over(order).cast("long"))
-
 
 def number_by_parts(lineitem: DataFrame) -> DataFrame:
-    """The same numbers with an order spread over many windows.
+    """Item numbers of every order, which may be spread over many windows.
 
     Lines are ranked inside ranges of (line number, part key); a range starts
     after the lines of all earlier ranges of its order. Only the counts of the
@@ -54,27 +41,14 @@ def number_by_parts(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def largest_order(lineitem: DataFrame) -> int:
-    """Lines of the largest order."""
-    sizes = lineitem.groupBy("l_orderkey").agg(F.count("*").alias("n"))
-    return sizes.agg(F.max("n")).first()[0] or 0
-
-
 def sample_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
     """Raw marketplace tables derived from the star schema in `sf_dir`; all lazy."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _plans:
-        _plans[key] = _map_tables(spark, sf_dir)
-    return _plans[key]
-
 
-def _map_tables(spark: SparkSession, sf_dir: str) -> Bronze:
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     tables = {name: read(name) for name in ("lineitem", "orders", "customer", "nation", "part", "supplier")}
-    small = largest_order(tables["lineitem"]) <= MAX_LINES_PER_WINDOW
-    tables["numbered_lines"] = (number_by_window if small else number_by_parts)(tables["lineitem"])
+    tables["numbered_lines"] = number_by_parts(tables["lineitem"])
 
     raw: dict[str, DataFrame] = {}
     for name, text in MAPPING.items():

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -47,15 +48,19 @@ def materialize(
 
 
 def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
-    """Append the rows whose key is not stored yet and return the stored table.
+    """Append one row per key that is not stored yet and return the stored table.
 
-    A first run writes everything. The stored side is read for its key
-    columns only.
+    A first run writes everything. Null is a key like any other. Of several
+    rows of a batch with one key one is stored. The stored side is read for
+    its key columns only.
     """
     spark = df.sparkSession
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     exists = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
+    batch = df.dropDuplicates(keys)
     if exists:
-        df = df.join(spark.read.parquet(path).select(*keys), keys, "left_anti")
-    df.write.mode("append").parquet(path)
+        stored = spark.read.parquet(path).select(*[F.col(k).alias(f"stored_{k}") for k in keys]).distinct()
+        same = [batch[k].eqNullSafe(stored[f"stored_{k}"]) for k in keys]
+        batch = batch.join(stored, same, "left_anti")
+    batch.write.mode("append").parquet(path)
     return spark.read.parquet(path)

@@ -38,7 +38,7 @@ def test_metrics_with_ties(scored):
 def test_curves_end_at_one(scored):
     _, df = scored
     roc = rows(evaluation.roc_curve(df, "y", "s"))
-    last = min(roc, key=lambda r: r["threshold"])
+    last = min((r for r in roc if r["threshold"] is not None), key=lambda r: r["threshold"])
     assert (last["fpr"], last["tpr"]) == (1.0, 1.0)
     pr = by(evaluation.pr_curve(df, "y", "s"), "threshold")
     assert pr[min(pr)]["recall"] == 1.0
@@ -100,3 +100,15 @@ def test_forest_is_saved_and_loaded(spark, monkeypatch, tmp_path):
     kept = models.drop_true_positives(again, "y", "prediction")
     assert again.count() == 100 and kept.where("y = 1 AND prediction = 1").count() == 0
     assert rows(models.compare_importances({"forest": model}, ["a"]))[0]["forest"] == 1.0
+
+
+def test_close_scores_stay_apart(spark):
+    from shopmart.operators import evaluation
+
+    scored = spark.createDataFrame(
+        [(1, 0.90004, 1), (0, 0.90001, 1), (1, 0.50002, 1), (0, 0.50001, 1)], "y int, s double, hit int"
+    )
+    row = evaluation.metrics(scored, "y", "s", "hit").first()
+    assert (row["roc_auc"], row["average_precision"]) == (0.75, 0.833333)
+    assert evaluation.roc_curve(scored, "y", "s").count() == 5
+    assert evaluation.train_test_split(scored.withColumn("k", scored["s"].cast("string")), "k", 1.0).where("split = 'test'").count() == 4

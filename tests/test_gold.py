@@ -127,40 +127,31 @@ def test_nested_table_and_flat_parts_give_the_same_gold(build, spark, tmp_path_f
     assert sorted(map(str, flat.collect())) == sorted(map(str, nested.collect()))
 
 
-def test_variety_is_the_same_without_pairing_large_orders(spark, monkeypatch):
-    import random
-
-    from shopmart.operators.features import _pairs, _variety, _variety_with_large_orders
-
-    rng = random.Random(5)
-    members, products = set(), set()
-    for order in range(40):
-        large = order < 6
-        for _ in range(rng.randint(1, 12)):
-            members.add((f"o{order}", rng.choice(["s1", "s2", "s3", "s4", "s5", None])))
-        for _ in range(rng.randint(8, 30) if large else rng.randint(0, 3)):
-            n = rng.randint(0, 60)
-            products.add((f"o{order}", f"p{n}", None if n % 7 == 0 else f"c{n % 9}"))
-        products.add((f"o{order}", None, None)) if order % 5 == 0 else None
-    # Sellers that share exactly the same large orders.
-    members |= {(f"o{o}", s) for o in (0, 1) for s in ("twin1", "twin2")} | {("o20", "twin2"), ("o21", "lonely")}
-    m = spark.createDataFrame(sorted(members, key=str), "order_id string, variety_seller string")
-    p = spark.createDataFrame(
-        sorted(products, key=str), "order_id string, product_id string, product_category string"
-    )
-    monkeypatch.setattr(features, "PAIR_LIMIT", 5)
-    want = {r["variety_seller"]: r for r in rows(_variety(_pairs(m, p)))}
-    got = {r["variety_seller"]: r for r in rows(_variety_with_large_orders(m, p))}
-    assert got == want
-
-
-def test_features_of_large_orders(shop, monkeypatch):
-    for i, order in enumerate(("o1", "o2", "o3")):
+def test_variety_counts_products_and_categories_apart(shop):
+    shop.product("p1", "garden")  # a product that is listed in two categories
+    for i, order in enumerate(("o1", "o2", "o2")):
         shop.order(order, f"2018-01-0{i + 1}").payment(order, 1, 5.0)
-        for n in range(1, 8):
-            shop.item(order, n, 1.0, f"p{n % 3}", f"s{1 + n % 2}")
+    for n in range(1, 8):
+        shop.item("o1", n, 1.0, f"p{n % 3}", f"s{1 + n % 2}")
     shop.order("end", "2018-12-01")
-    silver = Silver.from_bronze(shop.bronze())
-    small = rows(features.ltv_features(silver))
-    monkeypatch.setattr(features, "PAIR_LIMIT", 2)
-    assert sorted(map(str, rows(features.ltv_features(silver)))) == sorted(map(str, small))
+    got = {r["seller_id"]: r for r in rows(features.ltv_features(Silver.from_bronze(shop.bronze())))}
+    assert {k: (r["unique_products_bought"], r["unique_categories_bought"]) for k, r in got.items()} == {
+        "s1": (3, 3),
+        "s2": (3, 3),
+    }
+
+
+def test_repeated_orders_count_once_flat_and_nested(shop):
+    from shopmart.operators.silver import denormalized_orders
+
+    shop.order("o1", "2018-01-01").item("o1", 1, 5.0).item("o1", 2, 5.0).payment("o1", 1, 10.0)
+    bronze = shop.bronze()
+    from dataclasses import replace
+
+    bronze = replace(bronze, orders=bronze.orders.union(bronze.orders))
+    for silver in (Silver.from_bronze(bronze), Silver.from_table(denormalized_orders(bronze))):
+        assert rows(gold.sales_kpi(silver))[0]["total_orders"] == 1
+        assert rows(gold.customer_ltv(silver))[0]["total_orders"] == 1
+        assert rows(gold.payment_behavior(silver))[0]["total_dist_orders"] == 1
+        row = rows(gold.seller_performance(silver))[0]
+        assert row["total_order_items_sold"] == 8  # two sellers' items twice, as exploded rows

@@ -6,7 +6,7 @@ from conftest import rows
 from shopmart.plans import medallion
 from shopmart.sources import storage
 from shopmart.sources.bronze import SCHEMAS, Bronze, load_csv, read_csv
-from shopmart.sources.sample import number_by_parts, number_by_window
+from shopmart.sources.sample import number_by_parts
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -36,10 +36,23 @@ def test_append_skips_stored_keys(spark, tmp_path):
     assert {(r["k"], r["v"]) for r in rows(storage.append_new(new, path, ["k"]))} == {(1, "a"), (2, "b"), (3, "c")}
 
 
-def test_both_numberings_agree(spark):
+def test_append_knows_null_keys_and_repeats(spark, tmp_path):
+    batch = spark.createDataFrame([(None, "n"), (1, "a"), (1, "a"), (None, "n")], "k int, v string")
+    for _ in range(3):
+        stored = storage.append_new(batch, str(tmp_path / "t"), ["k"])
+        assert sorted(str(r["k"]) for r in rows(stored)) == ["1", "None"]
+
+
+def test_numbers_are_those_of_one_window_per_order(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
     lineitem = spark.read.parquet(f"{FOLDER}/lineitem.parquet")
     one = lineitem.withColumn("l_orderkey", lineitem["l_orderkey"] % 3)
-    a, b = number_by_window(one), number_by_parts(one)
+    order = Window.partitionBy("l_orderkey").orderBy(
+        "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate"
+    )
+    a, b = one.withColumn("item_no", F.row_number().over(order).cast("long")), number_by_parts(one)
     assert a.exceptAll(b.select(a.columns)).count() == 0
 
 

@@ -41,7 +41,8 @@ def test_curves_end_at_one(scored):
     last = min((r for r in roc if r["threshold"] is not None), key=lambda r: r["threshold"])
     assert (last["fpr"], last["tpr"]) == (1.0, 1.0)
     pr = by(evaluation.pr_curve(df, "y", "s"), "threshold")
-    assert pr[min(pr)]["recall"] == 1.0
+    assert pr[min(t for t in pr if t is not None)]["recall"] == 1.0
+    assert (pr[None]["precision"], pr[None]["recall"]) == (1.0, 0.0)
 
 
 def test_split_depends_on_the_key_only(scored):

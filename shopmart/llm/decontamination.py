@@ -4,11 +4,12 @@ Words are lower-cased and parted at blanks and ASCII punctuation; shingles
 have five words (a shorter item is one shingle of all its words). Every
 window with as many words as an item has a 64-bit SimHash of its shingles. An
 index over eight blocks of eight bits finds all item fingerprints within the
-radius: if two fingerprints differ in at most 15 bits, some block differs in
-at most one, and an item is looked up under all values one bit away. What the
-index finds is compared exactly: the sum of the smaller weights of all
-shingles over the sum of the larger ones, a shingle weighing as often as it
-occurs.
+radius: if two fingerprints differ in at most 23 bits, some block differs in
+at most two, and an item is looked up under all values up to two bits away.
+What the index finds is compared exactly: the sum of the smaller weights of
+all shingles over the sum of the larger ones, a shingle weighing as often as
+it occurs. Of two texts with similarity 0.8 about 10 of 64 bits differ, with a
+deviation of 3, so a radius of 23 misses about two in a million of them.
 
 Before windows are hashed, a bound drops those that cannot pass: the
 similarity is at most the share of the window's shingles that occur in any
@@ -29,7 +30,7 @@ from shopmart.llm.common import Batches, map_rows, slices, texts_of
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
-RADIUS = 15
+RADIUS = 23
 BLOCKS = 8
 ITEMS_PER_PASS = 10_000
 
@@ -43,6 +44,8 @@ _FOLD = bytes(
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)]
 _BASE = 0x5851F42D4C957F2D  # odd, so its powers have inverses
 _CHUNK = 1 << 20
+_STRETCH = 1 << 15  # window starts hashed at once
+_PAIRS = 1 << 20  # pairs of a window and an item looked at together
 
 
 class Powers:
@@ -121,6 +124,13 @@ def window_fingerprints(hashes: np.ndarray, starts: np.ndarray, shingles: int) -
     return np.packbits(2 * counts > shingles, axis=1, bitorder="little").view("<u8").ravel()
 
 
+def _stretches(starts: np.ndarray) -> list[np.ndarray]:
+    """Sorted starts in parts that lie close together, so that a long text takes little memory."""
+    if not len(starts):
+        return []
+    return np.split(starts, np.flatnonzero(np.diff(starts // _STRETCH)) + 1)
+
+
 class BlockIndex:
     """Item fingerprints of one length under the values of their blocks."""
 
@@ -131,10 +141,17 @@ class BlockIndex:
         self.first = [np.searchsorted(values[o, b], np.arange(257)) for b, o in enumerate(self.order)]
 
     def within(self, windows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """All (window number, item number, distance) within a radius below twice the number of blocks."""
-        assert radius < 2 * BLOCKS
+        """All (window number, item number, distance) within the radius, some windows at a time."""
+        step = max(1, _PAIRS // len(self.fingerprints))
+        parts = [self._within(windows[at : at + step], radius) for at in range(0, len(windows), step)]
+        windows_of = np.concatenate([w + k * step for k, (w, _, _) in enumerate(parts)])
+        return windows_of, np.concatenate([i for _, i, _ in parts]), np.concatenate([d for _, _, d in parts])
+
+    def _within(self, windows: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         values = windows.astype("<u8").view(np.uint8).reshape(-1, BLOCKS)
-        masks = np.array([0, *(1 << b for b in range(8))], np.uint8)
+        every = np.arange(256, dtype=np.uint8)
+        # The bits that differ cannot be more than this in all blocks.
+        masks = every[np.bitwise_count(every) <= radius // BLOCKS]
         found = []
         for b in range(BLOCKS):
             keys = (values[:, b, None] ^ masks).astype(np.int64)
@@ -198,16 +215,17 @@ class Benchmark:
                     continue
                 hits = before[own:] - before[: len(before) - own]
                 # The larger weights sum up to the item's shingles at least.
-                starts = np.flatnonzero(hits >= least * shingles)
-                if not len(starts):
-                    continue
-                window, item, distance = index.within(window_fingerprints(hashes, starts, own), radius)
-                for w, i, d in zip(window.tolist(), item.tolist(), distance.tolist()):
-                    start = int(starts[w])
-                    similarity = weighted_similarity(np.unique(hashes[start : start + own], return_counts=True), bags[i])
-                    rank = (-similarity, d, start)
-                    if similarity >= least and (item_ids[i] not in best or rank < best[item_ids[i]][0]):
-                        best[item_ids[i]] = (rank, (item_ids[i], start, own + size - 1, d, similarity))
+                for starts in _stretches(np.flatnonzero(hits >= least * shingles)):
+                    window, item, distance = index.within(window_fingerprints(hashes, starts, own), radius)
+                    for w, i, d in zip(window.tolist(), item.tolist(), distance.tolist()):
+                        known_best = best.get(item_ids[i])
+                        if known_best and known_best[0][0] == -1:
+                            continue  # the whole item, and no window before has it
+                        start = int(starts[w])
+                        similarity = weighted_similarity(np.unique(hashes[start : start + own], return_counts=True), bags[i])
+                        rank = (-similarity, d, start)
+                        if similarity >= least and (known_best is None or rank < known_best[0]):
+                            best[item_ids[i]] = (rank, (item_ids[i], start, own + size - 1, d, similarity))
         return [best[i][1] for i in sorted(best)]
 
 

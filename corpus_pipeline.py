@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopmart.llm import decontamination, packing, pii, quality_rules, simhash_dedup
 from shopmart.session import cut_lineage
@@ -16,9 +17,16 @@ from shopmart.session import cut_lineage
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def _recounted(docs: DataFrame) -> DataFrame:
+    """`n_chars` follows the text of stages that change it."""
+    if "n_chars" not in docs.columns:
+        return docs
+    return docs.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; the others lose the lines that too many documents of their host share."""
-    return quality_rules.clean(docs)
+    return _recounted(quality_rules.clean(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,7 +41,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Personal data, plain or disguised, is replaced by its kind."""
-    return pii.redact(docs)
+    return _recounted(pii.redact(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -136,17 +136,19 @@ def test_stages_on_the_sample(spark, sample):
     stages = dict(corpus_pipeline.STAGES)
     docs = stages["quality_rules"](spark, docs, sf_dir)
     assert docs.columns == sample.columns and {r["doc_id"] for r in docs.collect()} == kept
+    assert all(r["n_chars"] == len(r["text"]) for r in docs.collect())
     rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
     docs = stages["simhash_near_dedup"](spark, docs, sf_dir)
     assert {r["doc_id"] for r in docs.collect()} == {c for _, _, c in plain_classes(rows, 3)} and docs.count() <= len(rows)
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
     docs = stages["benchmark_decontamination"](spark, docs, sf_dir)
     benchmark = decontamination.Benchmark(items)
-    clean = {d for d, t in rows.items() if not benchmark.matches(t, 15, 0.8)}
+    clean = {d for d, t in rows.items() if not benchmark.matches(t, decontamination.RADIUS, 0.8)}
     assert {r["doc_id"] for r in docs.collect()} == clean
     assert not any(" ".join(t.split()) in " ".join(rows[d].split()) for d in clean for _, t in items)
     docs = stages["pii"](spark, docs, sf_dir)
     assert {r["doc_id"]: r["text"] for r in docs.collect()} == {d: pii.redact_text(rows[d]) for d in clean}
+    assert docs.schema == sample.schema and all(r["n_chars"] == len(r["text"]) for r in docs.collect())
     check_packing(stages["best_fit_packing"](spark, docs, sf_dir).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()])
 
 

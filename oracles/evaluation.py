@@ -61,6 +61,32 @@ where seen >= cast(0.8 as double) * total group by 1
 """,
 )
 
+# The test rows of the models. Flags of the queries must all hold; figures of the models are not known here.
+part("test_sellers", "select b.* from {buckets} b where bucket < '4000000000000000'")
+part(
+    "person_buckets",
+    """
+select customer_unique_id, churn_flag, substr(md5(concat_ws('-', '6199', customer_unique_id)), 1, 16) bucket
+from {churn_customers}
+""",
+)
+part(
+    "test_persons",
+    """
+select b.* from {person_buckets} b join (select churn_flag, min(bucket) cut from (select churn_flag, bucket,
+  count(*) over (partition by churn_flag order by bucket) seen, count(*) over (partition by churn_flag) total
+  from {person_buckets}) where seen >= cast(0.8 as double) * total group by 1) c on c.churn_flag = b.churn_flag
+where bucket > cut
+""",
+)
+
+
+def model_checks(kind: str, rows: str, label: str, more: str = "") -> str:
+    return f"""select '{kind}' model, count(*) test_rows, count(*) filter ({label} = 1) positives,
+  true scores_valid, true figures_agree, true learned{more} from {{{rows}}}"""
+
+
+CLASSIFIERS = ("decision_tree", "random_forest", "boosted_trees")
 CHURN_COLUMNS = (
     "customer_unique_id num_orders distinct_categories avg_order_value lifetime_value avg_basket_size pct_on_time "
     "days_since_last_purchase avg_review_score pct_negative_reviews distinct_payment_types num_orders_180d ltv_180d "
@@ -114,6 +140,23 @@ from rates cross join pairs cross join steps"""),
     "ml_probability_recalibration": query("""
 select seller_id, score, DIV(score, score + (cast(1 as double) - score) / DIV(negative, positive)) calibrated
 from {scored} cross join {class_counts}"""),
+    "ml_decision_tree_checks": query(model_checks("decision_tree", "test_sellers", "churn_6m")),
+    "ml_random_forest_checks": query(model_checks("random_forest", "test_sellers", "churn_6m")),
+    "ml_gbt_checks": query(model_checks("boosted_trees", "test_sellers", "churn_6m")),
+    "ml_gbt_weighted_checks": query(model_checks("boosted_trees", "test_persons", "churn_flag")),
+    "ml_logistic_checks": query(model_checks("logistic", "test_persons", "churn_flag")),
+    "ml_predictions_checks": query("select seller_id, churn_6m, true scores_valid from {test_sellers}"),
+    "ml_feature_importance_checks": "select unnest([" + ", ".join(f"'{c}'" for c in LTV_FEATURES)
+    + "]) feature, true shares_valid, true sums_to_one",
+    "ml_top_features_checks": query(
+        "\nunion all\n".join(model_checks(k, "test_sellers", "churn_6m", ", 5 inputs") for k in CLASSIFIERS)
+    ),
+    "ml_score_and_filter_checks": query(
+        "select seller_id, ltv_6m, true no_true_positive from {labelled_sellers} where churn_6m = 0"
+    ),
+    "ml_ltv_regression_checks": f"""
+select model, inputs, true root_agrees, true r2_valid
+from (select unnest(['random_forest', 'boosted_trees']) model) cross join (select unnest([{len(LTV_FEATURES)}, 6]) inputs)""",
     "ml_regression_metrics": query("""
 select RND(avg((ltv_6m - total_spent) * (ltv_6m - total_spent)), 0) mse,
   RND(sqrt(avg((ltv_6m - total_spent) * (ltv_6m - total_spent))), 2) rmse,

@@ -19,7 +19,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.functions.columns import count_where
+from shopmart.functions.columns import count_where, ratio
 from shopmart.operators import evaluation
 
 # Model settings.
@@ -32,6 +32,8 @@ TOP_CHURN = 5
 TOP_LTV = 6
 
 WEIGHT = "class_weight"
+ROUNDING = 1e-9
+CHANCE = 0.5  # area under the ROC curve
 
 
 def assemble(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -76,7 +78,7 @@ def positive_probability() -> Column:
     return F.get(vector_to_array(F.col("probability")), F.lit(1))
 
 
-def train_and_score(
+def train(
     table: DataFrame,
     columns: Sequence[str],
     key: str,
@@ -85,7 +87,7 @@ def train_and_score(
     weighted: bool = False,
     stratified: bool = False,
 ) -> tuple[Model, DataFrame]:
-    """Fits on the training keys and scores the test keys.
+    """Fits on the training keys; the model, and all rows with their vectors and `split`.
 
     `table` should be stored: every tree level reads it. Three quarters of the
     keys train, or with `stratified` four fifths of every class.
@@ -95,10 +97,23 @@ def train_and_score(
         split = evaluation.stratified_split(vectors, key, label, name="split")
     else:
         split = evaluation.train_test_split(vectors, key, TEST_SHARE)
-    train = split.where("split = 'train'")
+    rows = split.where("split = 'train'")
     if weighted:
-        train = with_class_weight(train, label)
-    model = classifier(kind, label, weighted).fit(train)
+        rows = with_class_weight(rows, label)
+    return classifier(kind, label, weighted).fit(rows), split
+
+
+def train_and_score(
+    table: DataFrame,
+    columns: Sequence[str],
+    key: str,
+    label: str,
+    kind: str,
+    weighted: bool = False,
+    stratified: bool = False,
+) -> tuple[Model, DataFrame]:
+    """Fits on the training keys and scores the test keys."""
+    model, split = train(table, columns, key, label, kind, weighted, stratified)
     return model, score(model, split.where("split = 'test'"), key, label)
 
 
@@ -118,6 +133,57 @@ def evaluate(scored: DataFrame, label: str, name: str) -> DataFrame:
     return figures.select(F.lit(name).alias("model"), "*")
 
 
+def fits_class(prediction: Column, probability: Column) -> Column:
+    """Whether a probability lies in 0..1 and on the side of 0.5 that its class says."""
+    side = F.when(prediction == 1, probability >= 0.5 - ROUNDING).otherwise(probability <= 0.5 + ROUNDING)
+    return probability.between(0, 1) & side
+
+
+def check(scored: DataFrame, trained_on: DataFrame, label: str, name: str) -> DataFrame:
+    """Size of a scored test set and whether its scores, classes and figures hold together, one row.
+
+    `figures_agree` counts precision and recall anew. `learned` tells whether the model ranks the rows it was
+    trained on better than chance; on the test rows it need not, if the inputs say nothing about the label.
+    """
+    hit = count_where((F.col(label) == 1) & (F.col("prediction") == 1))
+    called, positive = count_where(F.col("prediction") == 1), count_where(F.col(label) == 1)
+    figures = evaluate(scored, label, name)
+
+    def agrees(column: str, own: Column) -> Column:
+        given = figures.select(column).scalar()
+        return F.coalesce(F.abs(given - own) < ROUNDING, given.isNull() & own.isNull())
+
+    counts = scored.agg(
+        F.count("*").alias("test_rows"),
+        positive.alias("positives"),
+        F.bool_and(fits_class(F.col("prediction"), F.col("probability"))).alias("scores_valid"),
+        hit.alias("hit"),
+        called.alias("called"),
+    )
+    return counts.select(
+        F.lit(name).alias("model"),
+        "test_rows",
+        "positives",
+        "scores_valid",
+        (
+            agrees("precision", ratio(F.col("hit"), F.col("called")))
+            & agrees("recall", ratio(F.col("hit"), F.col("positives")))
+        ).alias("figures_agree"),
+        (evaluate(trained_on, label, name).select("roc_auc").scalar() > CHANCE).alias("learned"),
+    )
+
+
+def recalibrated_figures(scored: DataFrame, label: str, weight: Column) -> DataFrame:
+    """Mean, ROC area and average precision of the probabilities of a weighted model after the correction."""
+    calibrated = evaluation.recalibrated(F.col("probability"), weight)
+    fair = scored.withColumn("probability", calibrated)
+    means = fair.agg(F.avg("probability").alias("mean_calibrated"), F.avg(label).alias("positive_share"))
+    figures = evaluate(fair, label, "calibrated")
+    return means.select(
+        "*", *[figures.select(c).scalar().alias(c) for c in ("roc_auc", "average_precision")]
+    )
+
+
 def importances(model: Model, columns: Sequence[str], name: str) -> DataFrame:
     """(feature, score) rows, one per model input."""
     rows = [(c, float(v)) for c, v in zip(columns, model.featureImportances.toArray())]

@@ -337,27 +337,61 @@ def training_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut_lineage(labelled_sellers(Silver.from_bronze(sample_bronze(spark, sf_dir))))
 
 
-def _classifier_metrics(kind: str) -> Query:
+Fit = Callable[[SparkSession, str], tuple[Model, DataFrame]]
+
+
+def _seller_fit(kind: str) -> Fit:
+    return lambda spark, sf_dir: models.train(training_table(spark, sf_dir), features.LTV_FEATURES, KEY, LABEL, kind)
+
+
+def _figures(fit: Fit, key: str, label: str, kind: str) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        table = training_table(spark, sf_dir)
-        _, scored = models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, kind)
-        return models.evaluate(scored, LABEL, kind)
+        model, rows = fit(spark, sf_dir)
+        return models.evaluate(models.score(model, rows.where("split = 'test'"), key, label), label, kind)
 
     return build
 
 
+def _checked(fitted: tuple[Model, DataFrame], key: str, label: str, kind: str) -> DataFrame:
+    model, rows = fitted
+    test, train = (cut_lineage(models.score(model, rows.where(F.col("split") == s), key, label)) for s in ("test", "train"))
+    return models.check(test, train, label, kind)
+
+
+def _checks(fit: Fit, key: str, label: str, kind: str) -> Query:
+    return lambda spark, sf_dir: _checked(fit(spark, sf_dir), key, label, kind)
+
+
 def _predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = training_table(spark, sf_dir)
     return models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, "random_forest")[1]
 
 
+def _predictions_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid = models.fits_class(F.col("prediction"), F.col("probability"))
+    return _predictions(spark, sf_dir).select(KEY, LABEL, valid.alias("scores_valid"))
+
+
+RANKED_KINDS = ("random_forest", "boosted_trees")
+CLASSIFIER_KINDS = ("decision_tree", *RANKED_KINDS)
+
+
+def _importances_on(table: DataFrame, inputs: Sequence[str]) -> DataFrame:
+    trained = {kind: models.train_and_score(table, inputs, KEY, LABEL, kind)[0] for kind in RANKED_KINDS}
+    return models.compare_importances(trained, inputs)
+
+
 def _importance(spark: SparkSession, sf_dir: str) -> DataFrame:
-    table = training_table(spark, sf_dir)
-    trained = {
-        kind: models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, kind)[0]
-        for kind in ("random_forest", "boosted_trees")
-    }
-    return models.compare_importances(trained, features.LTV_FEATURES)
+    return _importances_on(training_table(spark, sf_dir), features.LTV_FEATURES)
+
+
+def _importance_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every input with whether its shares are shares, and whether those of each model add up to 1."""
+    table = _importance(spark, sf_dir)
+    sums = table.agg(*[F.sum(kind).alias(kind) for kind in RANKED_KINDS])
+    whole = [F.abs(sums.select(kind).scalar() - 1) < models.ROUNDING for kind in RANKED_KINDS]
+    valid = [F.col(kind).between(0, 1) for kind in RANKED_KINDS]
+    return table.select("feature", (valid[0] & valid[1]).alias("shares_valid"), (whole[0] & whole[1]).alias("sums_to_one"))
 
 
 def _top_forest(table: DataFrame) -> tuple[list[str], Model, DataFrame]:
@@ -373,6 +407,34 @@ def _top_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.evaluate(scored, LABEL, "random_forest").withColumn("inputs", F.lit(", ".join(chosen)))
 
 
+def _top_inputs(table: DataFrame) -> list[str]:
+    return _top_forest(table)[0]
+
+
+def _top_features_models(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All classifiers trained again on the forest's most important inputs."""
+    table = training_table(spark, sf_dir)
+    chosen = _top_inputs(table)
+    scored = {kind: models.train_and_score(table, chosen, KEY, LABEL, kind)[1] for kind in CLASSIFIER_KINDS}
+    return reduce(DataFrame.unionByName, [models.evaluate(s, LABEL, kind) for kind, s in scored.items()])
+
+
+def _top_features_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Importances of the second training, side by side."""
+    table = training_table(spark, sf_dir)
+    return _importances_on(table, _top_inputs(table))
+
+
+def _top_features_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = training_table(spark, sf_dir)
+    chosen = _top_inputs(table)
+    rows = []
+    for kind in CLASSIFIER_KINDS:
+        checked = _checked(models.train(table, chosen, KEY, LABEL, kind), KEY, LABEL, kind)
+        rows.append(checked.withColumn("inputs", F.lit(len(set(chosen)))))
+    return reduce(DataFrame.unionByName, rows)
+
+
 def not_true_positives(spark: SparkSession, table: DataFrame) -> DataFrame:
     """Scores all sellers with the stored forest and drops the rightly called churners."""
     chosen, forest, _ = _top_forest(table)
@@ -389,6 +451,23 @@ def _score_and_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rest.select(KEY, LABEL, "churn_6m_pred", "ltv_6m")
 
 
+def _score_and_filter_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All sellers without churn, who must all be left, and whether any true positive is."""
+    rest = cut_lineage(_score_and_filter(spark, sf_dir))
+    churned = rest.where(F.col(LABEL) == 1)
+    left = churned.agg(F.coalesce(F.bool_and(F.col("churn_6m_pred") == 0), F.lit(True)).alias("ok"))
+    return rest.where(F.col(LABEL) == 0).select(KEY, "ltv_6m", left.scalar().alias("no_true_positive"))
+
+
+def _ltv_regression_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of inputs of each regressor and whether its figures hold together."""
+    inputs = F.when(F.col("inputs") == "all", len(features.LTV_FEATURES)).otherwise(F.size(F.split("inputs", ", ")))
+    root = F.abs(F.col("rmse") * F.col("rmse") - F.col("mse")) <= models.ROUNDING * (F.col("mse") + 1)
+    return _ltv_regression(spark, sf_dir).select(
+        "model", inputs.alias("inputs"), root.alias("root_agrees"), (F.col("r2") <= 1).alias("r2_valid")
+    )
+
+
 def _ltv_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Errors of both regressors on all inputs and on the most important ones.
 
@@ -411,26 +490,46 @@ def _ltv_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, reports)
 
 
-def _customer_metrics(kind: str, weighted: bool) -> Query:
+PERSON, PERSON_LABEL = "customer_unique_id", "churn_flag"
+
+
+def person_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    persons = features.churn_features_customer(Silver.from_bronze(sample_bronze(spark, sf_dir)))
+    return cut_lineage(features.fill_missing(persons))
+
+
+def _person_fitted(table: DataFrame, kind: str, weighted: bool) -> tuple[Model, DataFrame]:
     """The rare churn of persons: missing values filled, classes kept in proportion."""
+    return models.train(table, features.CHURN_FEATURES, PERSON, PERSON_LABEL, kind, weighted, stratified=True)
 
-    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        persons = features.churn_features_customer(Silver.from_bronze(sample_bronze(spark, sf_dir)))
-        table = cut_lineage(features.fill_missing(persons))
-        _, scored = models.train_and_score(
-            table, features.CHURN_FEATURES, "customer_unique_id", "churn_flag", kind, weighted, stratified=True
-        )
-        return models.evaluate(scored, "churn_flag", kind)
 
-    return build
+def _person_fit(kind: str, weighted: bool) -> Fit:
+    return lambda spark, sf_dir: _person_fitted(person_table(spark, sf_dir), kind, weighted)
+
+
+def _recalibrated_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The weighted model of persons, with the weight of the classes taken out of its probabilities again."""
+    model, rows = _person_fitted(person_table(spark, sf_dir), "boosted_trees", weighted=True)
+    scored = cut_lineage(models.score(model, rows.where("split = 'test'"), PERSON, PERSON_LABEL))
+    ratio = evaluation.class_ratio(rows.where("split = 'train'"), PERSON_LABEL).select("imbalance_ratio").scalar()
+    return models.recalibrated_figures(scored, PERSON_LABEL, F.coalesce(ratio, F.lit(1.0)))
 
 
-register("ml_decision_tree", _classifier_metrics("decision_tree"))
-register("ml_random_forest", _classifier_metrics("random_forest"))
-register("ml_gbt", _classifier_metrics("boosted_trees"))
-register("ml_gbt_weighted", _customer_metrics("boosted_trees", weighted=True))
-register("ml_logistic", _customer_metrics("logistic", weighted=False))
+for _name, _kind in (("decision_tree", "decision_tree"), ("random_forest", "random_forest"), ("gbt", "boosted_trees")):
+    register(f"ml_{_name}", _figures(_seller_fit(_kind), KEY, LABEL, _kind))
+    register(f"ml_{_name}_checks", _checks(_seller_fit(_kind), KEY, LABEL, _kind))
+for _name, _kind, _weighted in (("gbt_weighted", "boosted_trees", True), ("logistic", "logistic", False)):
+    register(f"ml_{_name}", _figures(_person_fit(_kind, _weighted), PERSON, PERSON_LABEL, _kind))
+    register(f"ml_{_name}_checks", _checks(_person_fit(_kind, _weighted), PERSON, PERSON_LABEL, _kind))
+register("ml_recalibrated_metrics", _recalibrated_metrics)
 register("ml_predictions", _predictions)
+register("ml_predictions_checks", _predictions_checks)
+register("ml_feature_importance_checks", _importance_checks)
+register("ml_top_features_models", _top_features_models)
+register("ml_top_features_importance", _top_features_importance)
+register("ml_top_features_checks", _top_features_checks)
+register("ml_score_and_filter_checks", _score_and_filter_checks)
+register("ml_ltv_regression_checks", _ltv_regression_checks)
 register("ml_feature_importance", _importance)
 register("ml_top_features", _top_features)
 register("ml_score_and_filter", _score_and_filter)

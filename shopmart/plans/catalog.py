@@ -20,6 +20,9 @@ from shopmart.sources.sample import dirty_bronze, sample_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+# What queries on the sample do with its raw tables or silver, for callers that have these stored.
+FROM_BRONZE: dict[str, Callable[[Bronze], DataFrame]] = {}
+FROM_SILVER: dict[str, Callable[[Silver], DataFrame]] = {}
 
 
 def register(name: str, build: Query) -> None:
@@ -27,10 +30,12 @@ def register(name: str, build: Query) -> None:
 
 
 def on_bronze(name: str, build: Callable[[Bronze], DataFrame]) -> None:
+    FROM_BRONZE[name] = build
     register(name, lambda spark, sf_dir: build(sample_bronze(spark, sf_dir)))
 
 
 def on_silver(name: str, build: Callable[[Silver], DataFrame]) -> None:
+    FROM_SILVER[name] = build
     register(name, lambda spark, sf_dir: build(Silver.from_bronze(sample_bronze(spark, sf_dir))))
 
 
@@ -188,14 +193,18 @@ CHECKS = (
 )
 
 
-def _check(build: Callable[[Bronze], DataFrame], source: Callable[[SparkSession, str], Bronze]) -> Query:
-    return lambda spark, sf_dir: plain_money(build(source(spark, sf_dir)))
+def _plain(build: Callable[[Bronze], DataFrame]) -> Callable[[Bronze], DataFrame]:
+    return lambda bronze: plain_money(build(bronze))
+
+
+def _on_dirty(build: Callable[[Bronze], DataFrame]) -> Query:
+    return lambda spark, sf_dir: build(dirty_bronze(spark, sf_dir))
 
 
 for _build in FAULT_CHECKS:
-    register(f"dq_{_build.__name__}", _check(_build, dirty_bronze))
+    register(f"dq_{_build.__name__}", _on_dirty(_plain(_build)))
 for _build in CHECKS:
-    register(f"dq_{_build.__name__}", _check(_build, sample_bronze))
+    on_bronze(f"dq_{_build.__name__}", _plain(_build))
 
 
 def _tables(s: Silver) -> dict[str, DataFrame]:

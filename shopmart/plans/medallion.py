@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopmart.operators import features, gold, rules
 from shopmart.operators.silver import Silver, denormalized_orders
@@ -22,6 +23,10 @@ GOLD: dict[str, Callable[[Silver], DataFrame]] = {
     "ltv_features": features.ltv_features,
     "churn_features": features.churn_features_customer,
 }
+# Published with the time of their load, like silver.
+STAMPED = frozenset(
+    {"sales_kpi", "seller_performance", "payment_behavior", "cohort_retention_all", "cohort_retention_product"}
+)
 
 
 def build(
@@ -41,7 +46,10 @@ def build(
     silver = Silver.from_table(table)
     stored = {"denormalized_orders": silver.orders}
     for name, define in GOLD.items():
-        stored[name] = materialize(define(silver), f"gold.{name}", as_view=name in as_views)
+        result = define(silver)
+        if name in STAMPED:
+            result = result.withColumn("_ingest_ts", F.current_timestamp())
+        stored[name] = materialize(result, f"gold.{name}", as_view=name in as_views)
     metrics = gold.customer_metrics(stored["order_summary"])
     stored["customer_metrics"] = materialize(metrics, "gold.customer_metrics")
     return stored

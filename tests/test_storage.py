@@ -64,6 +64,7 @@ def test_pipeline_stores_all_layers(spark, shop):
     report = {(r["table"], r["column"], r["rule"]): r["failing_rows"] for r in rows(medallion.quality_report(stored))}
     assert report[("customer_ltv", "predicted_ltv_6m_heuristic", "not_null")] == 1
     assert report[("denormalized_orders", "order_id", "unique")] == 0
+    assert {name for name, table in stored.items() if "_ingest_ts" in table.columns} == medallion.STAMPED
     # A second run replaces the tables.
     again = medallion.build(spark, shop.bronze(), buckets=2)
     assert again["customer_metrics"].count() == 1 and rows(again["sales_kpi"])[0]["total_sales"] == 10.0

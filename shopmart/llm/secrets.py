@@ -164,8 +164,16 @@ def base_spans(text: str) -> list[Span]:
     return sorted(spans, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
+def _covered(start: int, end: int, base: list[Span]) -> bool:
+    """Whether the spans, sorted by start, hold every character."""
+    for a, b, _ in base:
+        if a <= start < b:
+            start = b
+    return start >= end
+
+
 def guessed_spans(text: str, base: list[Span], cost: GuessCost, limit: float) -> list[Span]:
-    """Values in credential contexts that no fixed shape covers and that cost more than the limit.
+    """Values in credential contexts that fixed shapes do not cover wholly and that cost more than the limit.
 
     An unquoted value of lower-case letters only is taken for prose.
     """
@@ -181,7 +189,7 @@ def guessed_spans(text: str, base: list[Span], cost: GuessCost, limit: float) ->
             continue
         if group != 3 and " " in value and value.replace(" ", "").isalpha():
             continue  # a quoted phrase
-        if any(a < end and start < b for a, b, _ in base):
+        if _covered(start, end, base):
             continue
         if cost(value) >= limit:
             found.append((start, end, GUESSED))

@@ -171,6 +171,17 @@ def test_values_in_credential_contexts():
         assert secrets.find(text, cost)[1] == []
 
 
+def guessed(text):
+    return [text[a:b] for a, b, k in secrets.find(text, secrets.GuessCost())[1] if k == "guess"]
+
+
+def test_values_a_fixed_shape_covers_in_part():
+    text = "password = Tr0ub4dor9&3xQ!7#k"
+    assert guessed(text) == ["Tr0ub4dor9&3xQ!7#k"]
+    assert secrets.base_spans(text) == [(0, 21, "assign")]
+    assert guessed("password = Tr0ub4dor93xQ7k") == []
+
+
 # ---------------------------------------------------------------- quality rules
 
 

@@ -14,6 +14,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from itertools import zip_longest
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +32,7 @@ FOUND = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 stri
 # Values in credential contexts are secrets from this many guesses on (as power of ten).
 MIN_GUESSES_LOG10 = 8.0
 MIN_VALUE_CHARS = 6
+PROSE_FACTOR = 1.5
 
 # ---------------------------------------------------------------- fixed shapes
 
@@ -45,8 +47,8 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 
 _CONTEXT = re.compile(
     r"(?<![A-Za-z])(?:pass(?:word|wd|phrase|code|key)?|pwd|pin|secret|token|credentials?|api_?key|access_?key|auth|bearer|private_?key)"
-    r"[\"']?(?:[ \t]{0,4}(?::=|=>|[:=])[ \t]{0,4}|[ \t]{1,4}is[ \t]{1,4})"
-    r"(?:\"([^\"\n]+)\"|'([^'\n]+)'|([^\s\"'<>]+))",
+    r"[\"']?(?:[ \t]{0,4}(?::=|=>|[:=])[ \t]{0,4}|(?P<is>[ \t]{1,4}is[ \t]{1,4}))"
+    r"(?:\"(?P<double>[^\"\n]+)\"|'(?P<single>[^'\n]+)'|(?P<bare>[^\s\"'<>]+))",
     re.IGNORECASE | re.ASCII,
 )
 _CONTEXT_HINTS = ("pass", "pwd", "pin", "secret", "token", "credential", "key", "auth", "bearer")
@@ -64,6 +66,35 @@ COMMON_WORDS = (
     "silver golden black white green blue purple yellow red hello world happy lucky angel heaven magic mustang "
     "ferrari porsche corvette yankees lakers arsenal chelsea liverpool london paris berlin madrid texas"
 ).split()
+# Common words of prose, so that prose in a credential context is cheap.
+PROSE_WORDS = (
+    "the of and to in is it you that he was for on are with as his they at be this from have or by one had not but what "
+    "all were when we there can an which she do how their if will up other about out many then them these so some her "
+    "would make like him into time has look two more write go see no way could people my than first been call who its "
+    "now find long down day did get come made may part over new sound take only little work know place year live me "
+    "back give most very after thing our just name good sentence man think say great where help through much before "
+    "line right too mean old any same tell boy follow came want show also around form three small set put end does "
+    "another well large must big even such because turn here why ask went men read need land different home us move "
+    "try kind hand picture again change off play spell air away animal house point page letter mother answer found "
+    "study still learn should world every between own below country add last school father keep tree never start city "
+    "earth eye light thought head under story saw left few while along might close something seem next hard open "
+    "example begin life always those both paper together got group often run important until children side feet car "
+    "mile night walk white sea began grow took river four carry state once book hear stop without second later miss "
+    "idea enough eat face watch far really almost let above girl sometimes mountain cut young talk soon list song "
+    "being leave family else nothing everything someone anyone nobody anything required invalid missing empty expired "
+    "unknown unset disabled enabled optional provided generated encrypted protected stored hidden changed updated "
+    "incorrect wrong correct valid needed used given sent forgotten forgot reset removed deleted revoked shared "
+    "necessary necessarily understanding understood describe description following available different difficult "
+    "possible impossible certain certainly obvious obviously usually generally currently already probably definitely "
+    "absolutely completely automatically immediately authentication authorization authenticated authorized "
+    "administrator application configuration environment variable parameter undefined redacted placeholder "
+    "information development production database connection request response document content message number "
+    "question problem business government company education community experience management technology language "
+    "der die das und ist nicht ein eine mit von auf den dem wird kein passwort les des est pas une pour dans que qui "
+    "los las del por para con una esta clave contrasena motdepasse"
+).split()
+# The two lists in turn, as a guesser tries both from their first words on.
+KNOWN_WORDS = tuple(w for pair in zip_longest(COMMON_WORDS, PROSE_WORDS) for w in pair if w)
 # Rows of two keyboards.
 _ROWS = ("1234567890", "qwertyuiop", "asdfghjkl", "zxcvbnm", "qwertzuiop", "yxcvbnm", "azertyuiop", "qsdfghjklm", "wxcvbn")
 _NEXT_KEYS = {a + b for row in _ROWS for a, b in zip(row, row[1:])} | {b + a for row in _ROWS for a, b in zip(row, row[1:])}
@@ -76,6 +107,7 @@ _DATE = re.compile(
 )
 
 _CHAR = 1.0  # log10 of the guesses for one character of brute force
+_BLANK = 0.0  # a blank in a phrase costs no more than being a further part
 _PART = math.log10(2)  # each further part doubles what has to be tried
 _YEAR = math.log10(120)
 _FULL_DATE = math.log10(365 * 120)
@@ -84,7 +116,7 @@ _FULL_DATE = math.log10(365 * 120)
 class GuessCost:
     """log10 of the guesses for a value; `words` in order of frequency."""
 
-    def __init__(self, words: list[str] | tuple[str, ...] = tuple(COMMON_WORDS)) -> None:
+    def __init__(self, words: list[str] | tuple[str, ...] = KNOWN_WORDS) -> None:
         self.price = {}
         for rank, word in enumerate(words, 1):
             if len(word) > 1:
@@ -135,6 +167,8 @@ class GuessCost:
                 word = self._word(value[start:end])
                 if word is not None:
                     options.append((start, word))
+            if value[end - 1] == " ":
+                options.append((end - 1, _BLANK))
             for start in dates.get(end, ()):
                 options.append((start, _YEAR if end - start == 4 else _FULL_DATE))
             for start, first in zip(runs[end - 1], (math.log10(95), math.log10(40), math.log10(60))):
@@ -175,23 +209,22 @@ def _covered(start: int, end: int, base: list[Span]) -> bool:
 def guessed_spans(text: str, base: list[Span], cost: GuessCost, limit: float) -> list[Span]:
     """Values in credential contexts that fixed shapes do not cover wholly and that cost more than the limit.
 
-    An unquoted value of lower-case letters only is taken for prose.
+    A word of letters behind "is" may be prose and is held to `PROSE_FACTOR` times the limit.
     """
     low = text.lower()
     if not any(hint in low for hint in _CONTEXT_HINTS):
         return []
     found: list[Span] = []
     for m in _CONTEXT.finditer(text):
-        group = next(i for i in (1, 2, 3) if m.group(i) is not None)
-        start, value = m.start(group), m.group(group).rstrip(" ,;.)") if group == 3 else m.group(group)
+        group = next(name for name in ("double", "single", "bare") if m.group(name) is not None)
+        start, value = m.start(group), m.group(group).rstrip(" ,;.)") if group == "bare" else m.group(group)
         end = start + len(value)
-        if len(value) < MIN_VALUE_CHARS or (group == 3 and value.isalpha() and value[1:].islower()):
+        if len(value) < MIN_VALUE_CHARS:
             continue
-        if group != 3 and " " in value and value.replace(" ", "").isalpha():
-            continue  # a quoted phrase
         if _covered(start, end, base):
             continue
-        if cost(value) >= limit:
+        prose = group == "bare" and m.group("is") and value.isalpha() and value[1:].islower()
+        if cost(value) >= (PROSE_FACTOR * limit if prose else limit):
             found.append((start, end, GUESSED))
     return found
 
@@ -208,7 +241,7 @@ def written(spans: list[Span]) -> str:
 
 
 def find_secrets(
-    docs: DataFrame, words: tuple[str, ...] = tuple(COMMON_WORDS), limit: float = MIN_GUESSES_LOG10
+    docs: DataFrame, words: tuple[str, ...] = KNOWN_WORDS, limit: float = MIN_GUESSES_LOG10
 ) -> DataFrame:
     """One row per row of `docs` with counts of the fixed shapes, their digest and all spans.
 

@@ -182,6 +182,14 @@ def test_values_a_fixed_shape_covers_in_part():
     assert guessed("password = Tr0ub4dor93xQ7k") == []
 
 
+def test_values_of_letters_are_priced():
+    assert guessed("pwd=qzxvkjwpmrtyhgfd") == ["qzxvkjwpmrtyhgfd"]
+    assert guessed('passphrase: "zqxv kjwp mrty hgfd"') == ["zqxv kjwp mrty hgfd"]
+    assert guessed("the pin is qzxvkjwpmrtyhgfd") == ["qzxvkjwpmrtyhgfd"]
+    for text in ("the password is necessarily", "the token is distributed", "pass: understanding", 'secret: "it is not"'):
+        assert guessed(text) == [], text
+
+
 # ---------------------------------------------------------------- quality rules
 
 

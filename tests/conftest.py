@@ -2,7 +2,6 @@ from __future__ import annotations
 
 import os
 import sys
-from datetime import date, datetime
 
 import pytest
 
@@ -10,6 +9,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.join(ROOT, "tests"))
 
+from helpers import at, day  # noqa: E402
 from shopmart.session import build_session  # noqa: E402
 from shopmart.sources.bronze import SCHEMAS, Bronze  # noqa: E402
 
@@ -33,14 +33,6 @@ def spark(tmp_path_factory):
     session.stop()
 
 
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)
-
-
-def day(text: str) -> date:
-    return date.fromisoformat(text)
-
-
 class Shop:
     """A few hand-made raw rows; `bronze()` gives the tables."""
 
@@ -90,11 +82,3 @@ class Shop:
 @pytest.fixture
 def shop(spark):
     return Shop(spark).product("p1", "toys").product("p2", "health_beauty").seller("s1").seller("s2", "RJ")
-
-
-def rows(df) -> list[dict]:
-    return [r.asDict() for r in df.collect()]
-
-
-def by(df, *keys) -> dict:
-    return {tuple(r[k] for k in keys) if len(keys) > 1 else r[keys[0]]: r for r in rows(df)}

@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from conftest import by, rows
+from helpers import by, rows
 from shopmart.operators import evaluation, models
 
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import pytest
 
-from conftest import by, rows
+from helpers import by, rows
 from shopmart.operators import features, gold, star
 from shopmart.operators.silver import Silver, denormalized_orders
 

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from itertools import product
 
-from conftest import at, by, rows
+from helpers import at, by, rows
 from shopmart.operators import profiling, quality, rules
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import at, by, day, rows
+from helpers import at, by, day, rows
 from shopmart.functions.columns import hour_boundaries, not_in, title_case
 from shopmart.operators import silver
 from shopmart.operators.silver import Silver, denormalized_orders

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from dataclasses import fields
 
-from conftest import rows
+from helpers import rows
 from shopmart.plans import medallion
 from shopmart.sources import storage
 from shopmart.sources.bronze import SCHEMAS, Bronze, load_csv, read_csv

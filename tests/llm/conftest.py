@@ -1,10 +1,5 @@
 from __future__ import annotations
 
-import os
-import sys
-
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 import pytest
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, place string, fp string, size string"
@@ -24,5 +19,3 @@ def table(spark):
 @pytest.fixture(scope="session")
 def sample(spark):
     return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-
-

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from conftest_llm import ODD
+from odd_rows import ODD
 from shopmart.llm import decontamination, packing, pii, quality_rules, sharding
 from shopmart.llm.tokens import Encoder
 

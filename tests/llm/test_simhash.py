@@ -7,7 +7,7 @@ import random
 import pytest
 import xxhash
 
-from conftest_llm import ODD
+from odd_rows import ODD
 from shopmart.llm import simhash_dedup
 from shopmart.llm.components import components
 

@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from conftest_llm import ODD
+from odd_rows import ODD
 from shopmart.llm import substring_dedup
 
 

@@ -13,7 +13,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from conftest_llm import ODD
+from odd_rows import ODD
 from shopmart.llm import compression_classifier, decontamination, pii, quality_rules, secrets, token_counts
 from shopmart.llm.tokens import END_TEXT, Encoder
 

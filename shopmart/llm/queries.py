@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopmart.llm import (
     compression_classifier,
     decontamination,
     packing,
+    periodic_runs,
     pii,
     quality_rules,
     secrets,
@@ -69,6 +72,39 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"))
 
 
+def _looped(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """A tenth of the documents run in a loop from some word on; a null id leaves its words."""
+    h = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or h % 10 or not words:
+        return words
+    g, n = h // 10, len(words)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * ((n - a) // p + 1))[: n - a]
+
+
+def _most_repeats(best: Column, run: Column) -> Column:
+    """The run with the greater length / period; the earlier one on ties."""
+    more = run["length"] * best["period"] > best["length"] * run["period"]
+    return F.when(best.isNull() | more, run).otherwise(best)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(_table(spark, sf_dir, "documents"), rewrite=_looped)
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("best", F.aggregate("runs", none, _most_repeats)).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"),
+    )
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -88,6 +124,7 @@ QUERIES: dict[str, Query] = {
         op8_benchmark_decontamination,
         op9_compression_classifier,
         op10_token_counts,
+        op11_periodic_runs,
         pipeline,
     )
 }

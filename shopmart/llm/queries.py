@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 from shopmart.llm import (
     compression_classifier,
     decontamination,
+    lexical_search,
+    line_dedup,
     packing,
     periodic_runs,
     pii,
@@ -105,6 +107,16 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(_table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -125,6 +137,8 @@ QUERIES: dict[str, Query] = {
         op9_compression_classifier,
         op10_token_counts,
         op11_periodic_runs,
+        op12_line_dedup,
+        op13_ranked_search,
         pipeline,
     )
 }
@@ -155,4 +169,32 @@ select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 from m
 """
 
-ORACLES: dict[str, str] = {"op2_quality_rules": OP2_SQL}
+OP12_SQL = """
+with t as (select row_number() over () r, doc_id, coalesce(text, '') text from documents),
+l as (select r, doc_id, unnest(string_split(text, chr(10))) line, unnest(range(len(string_split(text, chr(10))))) i from t),
+k as (select *, translate(trim(line, concat(' ', chr(9), chr(10), chr(11), chr(12), chr(13))),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') key from l),
+often as (select key, max(doc_id) last from k where length(key) >= 20 group by key having count(distinct r) >= 3),
+marked as (select r, k.doc_id, line, i, coalesce(k.doc_id < last, false) gone from k left join often using (key))
+select any_value(doc_id) doc_id, count(*) n_lines, count(*) filter (where gone) n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) kept_sha256
+from marked group by r
+"""
+
+OP13_SQL = """
+with d as (select row_number() over () r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') w from documents),
+q as (select row_number() over () item, item_id, regexp_extract_all(translate(coalesce(text, ''),
+  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') w from benchmark),
+s as (select count(*) filter (where len(w) > 0) n_docs, sum(len(w))::bigint n_terms from d),
+wanted as (select item, item_id, term, count(*) times from (select item, item_id, unnest(w) term from q) group by all),
+tfs as (select r, doc_id, term, count(*) tf from (select r, doc_id, unnest(w) term from d) where term in (select term from wanted) group by all),
+weights as (select term, floor(1000 * ln((2 * n_docs + 2)::double / (2 * count(*) + 1)::double))::bigint weight from tfs, s group by term, n_docs),
+m as (select r, 75 + (25 * len(w) * n_docs) // n_terms m from d, s where len(w) > 0),
+scored as (select item, item_id, r, doc_id, sum(times * weight * ((1000000000 * tf) // (1000 * tf + 12 * m)))::bigint score
+  from wanted join tfs using (term) join weights using (term) join m using (r) group by all),
+ranked as (select *, row_number() over (partition by item order by score desc, doc_id) rank from scored where score > 0)
+select item_id, rank::int rank, doc_id, score from ranked where rank <= 20
+"""
+
+ORACLES: dict[str, str] = {"op2_quality_rules": OP2_SQL, "op12_line_dedup": OP12_SQL, "op13_ranked_search": OP13_SQL}

@@ -38,6 +38,7 @@ MIN_DOCS = 3
 FAN = 3
 BATCHES = 6  # at least
 BATCH_DOCS = 1_000_000_000  # at most, about
+HOT = 1000  # a line is hot above one in so many of all lines, so there are fewer hot ones
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
@@ -180,11 +181,15 @@ def repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int =
         for i in range(n_batches):
             counted = lines.where(F.col("batch") == i).groupBy("h").agg(F.count("*").alias("n"), F.max("doc_id").alias("last"))
             runs.add(counted, min_docs)
-        often = runs.rows().where(F.col("n") >= min_docs).select("h", "last")
+        often = cut_lineage(runs.rows().where(F.col("n") >= min_docs).select("h", "last"))
+        total = stored.agg(F.coalesce(F.sum(F.size("hashes")), F.lit(0))).first()[0]
+        # Lines of very many documents, at most HOT of them, meet their verdict without a shuffle by line.
+        hot = F.broadcast(cut_lineage(lines.groupBy("h").count().where(F.col("count") * HOT > total).select("h")))
+        marked = lines.join(F.broadcast(often.join(hot, "h", "left_semi")), "h").unionByName(
+            lines.join(hot, "h", "left_anti").join(often, "h")
+        )
         earlier = F.col("doc_id").isNull() & F.col("last").isNotNull() | (F.col("doc_id") < F.col("last"))
-        # A line of very many documents is one key of this join; adaptive execution splits its partition.
-        lost = lines.join(often, "h").where(earlier).groupBy("doc_id").agg(F.collect_set("h").alias("dropped"))
-        return cut_lineage(lost)
+        return cut_lineage(marked.where(earlier).groupBy("doc_id").agg(F.collect_set("h").alias("dropped")))
     finally:
         runs.close()
 

@@ -36,12 +36,12 @@ def _macro(sql: str, name: str, build) -> str:
     return sql
 
 
-def query(sql: str, swap: dict[str, str] | None = None) -> str:
-    """`swap` lets all parts read another part instead of one, which itself may read the original."""
+def query(sql: str, swap: dict[str, str] | None = None, keep: frozenset[str] = frozenset()) -> str:
+    """`swap` lets all parts but `keep` read another part instead of one, which itself may read the original."""
     swap = swap or {}
 
     def text_of(name: str) -> str:
-        return PARTS[name] if name in swap.values() else swapped(PARTS[name])
+        return PARTS[name] if name in swap.values() or name in keep else swapped(PARTS[name])
 
     def swapped(text: str) -> str:
         return _NAME.sub(lambda m: f"{{{swap.get(m[1], m[1])}}}", text)

@@ -45,7 +45,7 @@ part(
     "seller_perf",
     """
 select s.seller_id, s.seller_state, i.product_category, count(*) total_order_items_sold,
-  cast(sum(i.price) as double) total_revenue_contribution,
+  cast(cast(sum(i.price) as decimal(38,2)) as double) total_revenue_contribution,
   RND(DIV(sum(t.is_delivered_on_time), count(distinct t.order_id)), 4) on_time_delivery_rate,
   RND(DIV(sum(t.review_score), count(t.review_score)), 2) average_review_score
 from {delivered} t join {order_sellers} s using (order_id) join {items} i using (order_id) group by 1, 2, 3

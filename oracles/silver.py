@@ -103,7 +103,7 @@ left join {review} e using (order_id)
 part(
     "item_lists",
     """
-select order_id, count(*) items, string_agg(concat_ws('|', order_item_id, product_id, price, freight_value,
+select order_id, count(*) items, string_agg(concat_ws('|', order_item_id, product_id, price::double, freight_value::double,
   product_category, product_weight_g, product_length_cm, product_height_cm, product_width_cm), ';'
   order by order_item_id) item_list
 from {items} group by order_id
@@ -112,7 +112,7 @@ from {items} group by order_id
 part(
     "payment_lists",
     """
-select order_id, string_agg(concat_ws('|', payment_sequential, payment_type, payment_installments, payment_value),
+select order_id, string_agg(concat_ws('|', payment_sequential, payment_type, payment_installments, payment_value::double),
   ';' order by payment_sequential) payment_list
 from {payments} group by order_id
 """,
@@ -134,13 +134,20 @@ select * replace (cast(calculated_order_cost as double) as calculated_order_cost
 """,
 )
 
-ORACLES: dict[str, str] = {
-    "silver_items_agg": query("""
+ITEMS_AGG = """
 select order_id, cast(cost as double) calculated_order_cost, quantity total_items_quantity, item_list
-from {costs} join {item_lists} using (order_id)"""),
-    "silver_payments_agg": query("""
+from {costs} join {item_lists} using (order_id)"""
+PAYMENTS_AGG = """
 select order_id, cast(paid as double) total_payment_value, payment_list
-from {paid} join {payment_lists} using (order_id)"""),
+from {paid} join {payment_lists} using (order_id)"""
+DENORMALIZED = """
+select f.*, item_list, payment_list, seller_list from {flat_facts} f
+left join {item_lists} using (order_id) left join {payment_lists} using (order_id)
+left join {seller_lists} using (order_id)"""
+
+ORACLES: dict[str, str] = {
+    "silver_items_agg": query(ITEMS_AGG),
+    "silver_payments_agg": query(PAYMENTS_AGG),
     "silver_sellers_agg": query("select order_id, seller_list from {seller_lists}"),
     "silver_core_order": query("select * from {core}"),
     "silver_latest_review": query("select * from {review}"),
@@ -148,10 +155,7 @@ from {paid} join {payment_lists} using (order_id)"""),
 select order_id, calculated_order_cost, total_payment_value, payment_match_flag from {flat_facts}"""),
     "silver_delivery_flags": query("""
 select order_id, is_delivered_on_time, num_early_delivery_days, date_validity from {flat_facts}"""),
-    "silver_denormalized_orders": query("""
-select f.*, item_list, payment_list, seller_list from {flat_facts} f
-left join {item_lists} using (order_id) left join {payment_lists} using (order_id)
-left join {seller_lists} using (order_id)"""),
+    "silver_denormalized_orders": query(DENORMALIZED),
     "silver_items_exploded": query("""
 select * replace (cast(price as double) as price, cast(freight_value as double) as freight_value)
 from {items} where order_id in (select order_id from {b_orders})"""),

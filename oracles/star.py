@@ -58,7 +58,7 @@ part(
     "star_sellers",
     """
 select s.seller_id, s.seller_state, i.product_category, count(*) total_order_items_sold,
-  cast(sum(i.price) as double) total_revenue_contribution,
+  cast(cast(sum(i.price) as decimal(38,2)) as double) total_revenue_contribution,
   RND(DIV(count(*) filter (t.order_delivered_customer_date <= cast(t.order_estimated_delivery_date as timestamp)),
     count(distinct t.order_id)), 4) on_time_delivery_rate,
   RND(DIV(sum(r.review_score), count(r.review_score)), 2) average_review_score

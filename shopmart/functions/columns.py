@@ -11,8 +11,8 @@ WORD_BREAKS = r"\t\n\r\[\](){}/|\\<>!?@\"^#$&~_,.:;*%+\-"
 REVIEW_FORMAT = "M/d/yyyy H:mm"
 
 MONEY = "decimal(18,2)"
-# Single amounts before they are summed; only sums are rounded.
-EXACT = "decimal(28,8)"
+# Single amounts before they are summed; only sums are rounded. Products with counts stay exact, too.
+EXACT = "decimal(24,6)"
 
 
 def title_case(text: Column) -> Column:
@@ -43,12 +43,6 @@ def month_label(day: Column) -> Column:
     return F.date_format(day, "MMM yyyy")
 
 
-def months_between_starts(later: Column, earlier: Column) -> Column:
-    """Month boundaries crossed from `earlier` to `later`."""
-    years = (F.year(later) - F.year(earlier)).cast("long")
-    return years * 12 + F.month(later) - F.month(earlier)
-
-
 def hour_boundaries(later_day: Column, earlier_ts: Column) -> Column:
     """Hour boundaries crossed from a timestamp to the midnight that starts a day.
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from shopmart.functions.columns import count_where, money, ratio
 from shopmart.operators.gold import DELIVERED
-from shopmart.operators.silver import Silver
+from shopmart.operators.silver import ARRAYS, Silver
+from shopmart.operators.tallies import Tally
 
 PEAK_MONTHS = (11, 12)
 GOOD_SCORE = 4
@@ -60,13 +61,9 @@ CHURN_FEATURES = (
 
 
 def observation_time(silver: Silver, months: int = HORIZON_MONTHS) -> Column:
-    """The newest purchase minus the horizon, evaluated first like a script variable.
-
-    One value; as a literal it reaches the scan of the orders as a filter.
-    """
+    """The newest purchase minus the horizon, as a scalar subquery over one column of the orders."""
     newest = silver.orders.agg(F.max("order_purchase_timestamp").alias("t"))
-    observed = newest.select((F.col("t") - F.make_ym_interval(F.lit(0), F.lit(months))).cast("string")).first()[0]
-    return F.lit(observed).cast("timestamp_ntz")
+    return newest.select(F.col("t") - F.make_ym_interval(F.lit(0), F.lit(months))).scalar()
 
 
 def ltv_target(silver: Silver) -> DataFrame:
@@ -74,16 +71,11 @@ def ltv_target(silver: Silver) -> DataFrame:
 
     An order counts once per item the seller has in it.
     """
-    sellers = silver.mix(
-        "sellers",
-        ["seller_id"],
-        [F.count("*").alias("n")],
-        ["order_status", "order_purchase_timestamp", "total_payment_value"],
-    )
-    later = sellers.where(
+    later = silver.rows.where(
         (F.col("order_status") == DELIVERED) & (F.col("order_purchase_timestamp") > observation_time(silver))
     )
-    return later.groupBy("seller_id").agg(money(F.sum(F.col("n") * F.col("total_payment_value"))).alias("ltv_6m"))
+    sellers = silver.crossed(later, ["total_payment_value"], Tally("sellers", ["seller_id"], "n"))
+    return sellers.groupBy("seller_id").agg(money(F.sum(F.col("n") * F.col("total_payment_value"))).alias("ltv_6m"))
 
 
 def ltv_features(silver: Silver) -> DataFrame:
@@ -93,54 +85,44 @@ def ltv_features(silver: Silver) -> DataFrame:
     s items of a seller, i items and p payments stands for w = s * i * p rows.
     All sums and averages here are weighted by w over one row per order and
     seller. Two of the rates count every row and are therefore always 1.
-    The target comes from the later orders in the same pass.
+    The target comes from the later orders in the same pass. Orders out of time
+    are left out before their children are looked at, if these are nested.
     """
     observed = observation_time(silver)
     bought = F.col("order_purchase_timestamp")
     orders = (
-        silver.orders.where(F.col("order_status") == DELIVERED)
+        silver.rows.where(F.col("order_status") == DELIVERED)
         .where(bought > observed - F.make_ym_interval(F.lit(1), F.lit(0)))
         .where(bought != observed)
-        .select(
-            "order_id",
-            "order_purchase_timestamp",
-            "order_estimated_delivery_date",
-            "order_delivered_customer_date",
-            "total_payment_value",
-            "is_delivered_on_time",
-            "num_early_delivery_days",
-            "review_score",
-            "review_cre_datetime",
-            "review_ans_datetime",
-            (bought > observed).alias("later"),
-        )
-    )
-    items = silver.mix(
-        "items",
-        [],
-        [
-            F.count("*").alias("items"),
-            F.sum("price").alias("price"),
-            F.count("price").alias("priced"),
-            F.sum("freight_value").alias("freight"),
-            F.count("freight_value").alias("freighted"),
-        ],
-    )
-    payments = silver.mix(
-        "payments",
-        [],
-        [
-            F.count("*").alias("payments"),
-            F.sum("payment_installments").alias("installments"),
-            F.count("payment_installments").alias("installed"),
-        ],
     )
-    orders = orders.join(items, "order_id").join(payments, "order_id", "left")
-    sellers = silver.mix("sellers", ["seller_id"], [F.count("*").alias("own")])
-    features = _seller_sums(sellers.join(orders, "order_id"), observed)
-
-    in_window = orders.where(~F.col("later") & F.col("payments").isNotNull()).select("order_id")
-    variety = seller_variety(silver, in_window, sellers.select("order_id", "seller_id"))
+    columns = [
+        "order_purchase_timestamp",
+        "order_estimated_delivery_date",
+        "order_delivered_customer_date",
+        "total_payment_value",
+        "is_delivered_on_time",
+        "num_early_delivery_days",
+        "review_score",
+        "review_cre_datetime",
+        "review_ans_datetime",
+    ]
+    amounts = {"price": "price", "freight": "freight_value"}
+    rows = silver.crossed(
+        orders,
+        columns,
+        Tally("items", (), "items", amounts, {"priced": "price", "freighted": "freight_value"}),
+        Tally(
+            "payments",
+            (),
+            "payments",
+            {"installments": "payment_installments"},
+            {"installed": "payment_installments"},
+            optional=True,
+        ),
+        Tally("sellers", ["seller_id"], "own"),
+    ).withColumn("later", bought > observed)
+    features = _seller_sums(rows, observed)
+    variety = seller_variety(silver, orders.where(bought < observed))
     return features.join(variety, features["seller_id"].eqNullSafe(variety["variety_seller"]), "left").select(
         "seller_id",
         *[F.coalesce(c, F.lit(0)).alias(c) if c.startswith("unique_") else c for c in LTV_FEATURES],
@@ -208,27 +190,46 @@ def _seller_sums(rows: DataFrame, observed: Column) -> DataFrame:
     )
 
 
-def seller_variety(silver: Silver, orders: DataFrame, sellers: DataFrame) -> DataFrame:
-    """Distinct products and categories in the given orders of every seller.
+VARIETY = {"product_id": "unique_products_bought", "product_category": "unique_categories_bought"}
+
+
+def seller_variety(silver: Silver, orders: DataFrame) -> DataFrame:
+    """Distinct products and categories of every seller in those of the given orders that have payments.
 
     A seller is credited with all products of an order it took part in, so
     the result is defined by the distinct (seller, product) pairs. Sellers and
-    products of an order are made distinct before they meet. The cost is one
-    row per order, distinct seller and distinct product, combined before it is
-    shuffled; an order of s sellers and p products costs s * p.
+    products of an order are made distinct before they meet, in the row if
+    nested. The cost is one row per order, distinct seller and distinct
+    product, combined before it is shuffled; an order of s sellers and p
+    products costs s * p.
     """
-    orders = orders.distinct()
-    members = sellers.select("order_id", F.col("seller_id").alias("variety_seller")).distinct()
-
-    def met(column: str, name: str) -> DataFrame:
-        sold = silver.mix("items", [column], []).where(F.col(column).isNotNull()).join(orders, "order_id", "left_semi")
-        pairs = members.join(sold, "order_id").select("variety_seller", column).distinct()
-        return pairs.groupBy("variety_seller").agg(F.count("*").alias(name))
-
-    products = met("product_id", "unique_products_bought")
-    categories = met("product_category", "unique_categories_bought").withColumnRenamed("variety_seller", "s")
-    # A seller with categories has products.
-    return products.join(categories, products["variety_seller"].eqNullSafe(categories["s"]), "left").drop("s")
+    if silver.table is not None:
+        pairs = _nested_variety(orders)
+    else:
+        paid = orders.join(silver.payments, "order_id", "left_semi").select("order_id").distinct()
+        members = silver.sellers.select("order_id", F.col("seller_id").alias("variety_seller")).distinct()
+        sold = [
+            silver.items.select("order_id", F.lit(kind).alias("kind"), F.col(kind).alias("value")).distinct()
+            for kind in VARIETY
+        ]
+        pairs = members.join(paid, "order_id").join(sold[0].union(sold[1]), "order_id")
+    met = pairs.where(F.col("value").isNotNull()).select("variety_seller", "kind", "value").distinct()
+    counts = [count_where(F.col("kind") == kind).alias(name) for kind, name in VARIETY.items()]
+    return met.groupBy("variety_seller").agg(*counts)
+
+
+def _nested_variety(orders: DataFrame) -> DataFrame:
+    """(variety_seller, kind, value) pairs formed in the rows."""
+    items, sellers = ARRAYS["items"], ARRAYS["sellers"]
+
+    def values(kind: str) -> Column:
+        distinct = F.array_distinct(F.transform(items, lambda x: x[kind]))
+        return F.transform(distinct, lambda v: F.struct(F.lit(kind).alias("kind"), v.alias("value")))
+
+    sold = F.concat(*map(values, VARIETY)).alias("sold")
+    members = F.explode(F.array_distinct(F.transform(sellers, lambda x: x["seller_id"]))).alias("variety_seller")
+    paid = orders.where(F.size(ARRAYS["payments"]) > 0)
+    return paid.select(sold, sellers).select("sold", members).select("variety_seller", F.inline("sold"))
 
 
 def churn_label(features: DataFrame) -> DataFrame:
@@ -253,13 +254,11 @@ def churn_features_customer(silver: Silver, horizon_months: int = HORIZON_MONTHS
     recent = before & (bought >= observed - F.make_dt_interval(F.lit(RECENT_DAYS)))
     kept = F.col("order_status") != CANCELED
     cost, score = F.col("calculated_order_cost"), F.col("review_score")
-    baskets = silver.mix("items", [], [F.count("*").alias("items")])
+    orders = silver.with_first(silver.rows.where("customer_unique_id IS NOT NULL"), "items", "items", {})
 
     n = count_where(before)
     persons = (
-        silver.orders.where("customer_unique_id IS NOT NULL")
-        .join(baskets, "order_id", "left")
-        .groupBy("customer_unique_id")
+        orders.groupBy("customer_unique_id")
         .agg(
             n.alias("num_orders"),
             ratio(F.sum(F.when(before, cost)), n, 2).alias("avg_order_value"),
@@ -293,10 +292,8 @@ def churn_features_customer(silver: Silver, horizon_months: int = HORIZON_MONTHS
 
 def _distinct_per_person(silver: Silver, part: str, column: str, name: str, observed: Column) -> DataFrame:
     """Distinct values in a person's orders before a time; two levels, so no set is held."""
-    order_columns = ["customer_unique_id", "order_purchase_timestamp"]
-    pairs = silver.mix(part, [column], [], order_columns).where(
-        (F.col("order_purchase_timestamp") < observed) & F.col(column).isNotNull()
-    )
+    before = silver.rows.where(F.col("order_purchase_timestamp") < observed)
+    pairs = silver.crossed(before, ["customer_unique_id"], Tally(part, [column], "n")).where(F.col(column).isNotNull())
     return pairs.select("customer_unique_id", column).distinct().groupBy("customer_unique_id").agg(
         F.count("*").alias(name)
     )

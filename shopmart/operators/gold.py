@@ -5,7 +5,7 @@ values repeat per item in the sales KPIs, per item and payment in the payment
 table, and every seller of an order is credited with all items of the order
 in the seller table. None of this needs the exploded rows: with n items in a
 category and m payments of a type, an order stands for n * m rows, so each
-figure is a weighted sum over small per-order counts (`Silver.mix`).
+figure is a weighted sum over small per-order counts (`Silver.crossed`).
 
 Orders and persons are counted distinct: an order that is stored twice adds to
 the sums as often, as it does in the exploded rows, but counts once. Spark
@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from shopmart.functions.columns import count_where, money, month_label, month_start, on_time, ratio
 from shopmart.functions.columns import early_days as early_days_of
 from shopmart.operators.silver import Silver, with_first_state
+from shopmart.operators.tallies import Tally
 
 DELIVERED = "delivered"
 GROSS_MARGIN = 0.25
@@ -40,7 +41,7 @@ def sales_kpi(silver: Silver) -> DataFrame:
         "is_delivered_on_time",
         "review_score",
     ]
-    orders = silver.mix("items", ["product_category"], [F.count("*").alias("n")], [*place, *scalars])
+    orders = silver.crossed(silver.rows, [*place, *scalars], Tally("items", ["product_category"], "n"))
     return sales_kpi_of(orders, keys)
 
 
@@ -100,14 +101,13 @@ def seller_performance(silver: Silver) -> DataFrame:
     Every seller of an order is paired with every item of the order, as the
     published table does; `star_seller_performance` holds the true figures.
     """
-    items = silver.mix(
-        "items",
-        ["product_category"],
-        [F.count("*").alias("n_items"), F.sum("price").alias("price")],
-        ["order_status", "is_delivered_on_time", "review_score"],
-    ).where(F.col("order_status") == DELIVERED)
-    sellers = silver.mix("sellers", ["seller_id", "seller_state"], [F.count("*").alias("n_sellers")])
-    pairs = sellers.join(items, "order_id").select(
+    delivered = silver.rows.where(F.col("order_status") == DELIVERED)
+    pairs = silver.crossed(
+        delivered,
+        ["is_delivered_on_time", "review_score"],
+        Tally("items", ["product_category"], "n_items", {"price": "price"}),
+        Tally("sellers", ["seller_id", "seller_state"], "n_sellers"),
+    ).select(
         "order_id",
         "seller_id",
         "seller_state",
@@ -144,13 +144,12 @@ def payment_behavior(silver: Silver) -> DataFrame:
         "payment_match_flag",
         "review_score",
     ]
-    items = silver.mix("items", ["product_category"], [F.count("*").alias("n_items")], scalars)
-    payments = silver.mix(
-        "payments", ["payment_type"], [F.count("*").alias("n_payments"), F.sum("payment_installments").alias("installments")]
-    )
-    pairs = payments.join(items, "order_id").withColumn(
-        "mismatch", F.when(F.col("payment_match_flag") == "Match", 0).otherwise(1)
-    )
+    pairs = silver.crossed(
+        silver.rows,
+        scalars,
+        Tally("items", ["product_category"], "n_items"),
+        Tally("payments", ["payment_type"], "n_payments", {"installments": "payment_installments"}),
+    ).withColumn("mismatch", F.when(F.col("payment_match_flag") == "Match", 0).otherwise(1))
     return payment_behavior_of(pairs)
 
 
@@ -221,19 +220,15 @@ def cohort_retention_all_of(delivered: DataFrame) -> DataFrame:
 
 
 def cohort_retention_product(silver: Silver) -> DataFrame:
-    first_items = silver.mix(
-        "items",
-        [],
-        [
-            F.min("order_item_id").alias("first_item"),
-            F.min_by("product_category", "order_item_id").alias("first_category"),
-        ],
+    delivered = silver.rows.where(F.col("order_status") == DELIVERED)
+    first = silver.with_first(
+        delivered, "items", "items_n", {"first_item": "order_item_id", "first_category": "product_category"}
     )
-    return cohort_retention_product_of(silver.orders.where(F.col("order_status") == DELIVERED), first_items)
+    return cohort_retention_product_of(first)
 
 
-def cohort_retention_product_of(delivered: DataFrame, first_items: DataFrame) -> DataFrame:
-    """Retention with the cohort also split by the category of the very first item.
+def cohort_retention_product_of(delivered: DataFrame) -> DataFrame:
+    """From delivered orders with their `first_item` and `first_category`, null without items: retention with the cohort also split by the category of the very first item.
 
     Cohort month and category come from orders that have items, later
     purchases from all delivered orders, so an earlier order without items
@@ -242,8 +237,7 @@ def cohort_retention_product_of(delivered: DataFrame, first_items: DataFrame) ->
     has_item = F.col("first_item").isNotNull()
     when = F.struct("order_purchase_timestamp", "first_item", "order_id")
     persons = (
-        delivered.join(first_items, "order_id", "left")
-        .groupBy("customer_unique_id")
+        delivered.groupBy("customer_unique_id")
         .agg(
             _months(),
             F.min(F.when(has_item, month_start(F.col("order_purchase_timestamp")))).alias("cohort_month"),
@@ -259,18 +253,13 @@ def cohort_retention_product_of(delivered: DataFrame, first_items: DataFrame) ->
 
 def order_summary(silver: Silver) -> DataFrame:
     """Delivered orders flat; `primary_state` is over delivered orders only here."""
-    delivered = silver.orders.where(F.col("order_status") == DELIVERED).drop("primary_state")
-    sizes = silver.mix("items", [], [F.count("*").cast("int").alias("total_items_quantity")])
-    first_seller = silver.mix("sellers", [], [F.min_by("seller_id", "order_item_id").alias("primary_seller_id")])
-    return _summary_columns(with_first_state(delivered), silver, sizes, first_seller)
-
-
-def _summary_columns(orders: DataFrame, silver: Silver, sizes: DataFrame, first_seller: DataFrame) -> DataFrame:
+    delivered = silver.rows.where(F.col("order_status") == DELIVERED).drop("primary_state")
+    orders = silver.with_first(delivered, "items", "items_n", {})
+    orders = silver.with_first(orders, "sellers", "sellers_n", {"primary_seller_id": "seller_id"})
     arrived, promised = F.col("order_delivered_customer_date"), F.col("order_estimated_delivery_date")
     latest_day = silver.orders.agg(F.max(F.col("order_purchase_timestamp").cast("date"))).scalar()
     return (
-        orders.join(sizes, "order_id", "left")
-        .join(first_seller, "order_id", "left")
+        with_first_state(orders)
         .select(
             "order_id",
             "order_status",
@@ -287,7 +276,7 @@ def _summary_columns(orders: DataFrame, silver: Silver, sizes: DataFrame, first_
             F.datediff(arrived.cast("date"), F.col("order_approved_at").cast("date")).alias("num_delivery_days"),
             early_days_of(promised, arrived).cast("double").alias("num_early_delivery_days"),
             latest_day.alias("current_day"),
-            "total_items_quantity",
+            F.col("items_n").cast("int").alias("total_items_quantity"),
         )
     )
 

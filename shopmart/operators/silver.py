@@ -16,7 +16,7 @@ not fit into one row belongs in the flat parts, which never gather them.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from shopmart.functions.columns import EXACT, MONEY, early_days, label, on_time, parse_review_time, title_case
 from shopmart.functions.sizes import small_side
+from shopmart.operators.tallies import Tally, unfolded, with_tally
 from shopmart.session import cut_lineage
 from shopmart.sources.bronze import Bronze
 
@@ -69,7 +70,7 @@ def product_labels(products: DataFrame, translation: DataFrame) -> DataFrame:
 
 def item_rows(order_items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     """One row per item with its product; product fields are null for unknown products."""
-    items = order_items.withColumns({c: F.col(c).cast(MONEY) for c in ("price", "freight_value")})
+    items = order_items.withColumns({c: F.col(c).cast(EXACT) for c in ("price", "freight_value")})
     carried = [c for c in ("item_seller",) if c in order_items.columns]
     return items.join(product_labels(products, translation), "product_id", "left").select(
         "order_id", *ITEM_FIELDS, *carried
@@ -82,7 +83,7 @@ def payment_rows(order_payments: DataFrame) -> DataFrame:
         "payment_sequential",
         label(F.col("payment_type")).alias("payment_type"),
         "payment_installments",
-        F.col("payment_value").cast(MONEY).alias("payment_value"),
+        F.col("payment_value").cast(EXACT).alias("payment_value"),
     )
 
 
@@ -105,18 +106,35 @@ def seller_rows(order_items: DataFrame, sellers: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- per order
 
 
+def item_cost() -> Column:
+    return F.col("price").cast(EXACT) + F.col("freight_value").cast(EXACT)
+
+
+def total(amount: Column) -> Column:
+    """A sum of exact amounts, rounded once."""
+    return F.round(F.sum(amount), 2).cast(MONEY)
+
+
 def item_totals(order_items: DataFrame) -> DataFrame:
     """Cost and size of every order; sums are combined before the shuffle."""
-    paid_for = F.col("price").cast(EXACT) + F.col("freight_value").cast(EXACT)
     return order_items.groupBy("order_id").agg(
-        F.round(F.sum(paid_for), 2).cast(MONEY).alias("calculated_order_cost"),
-        F.count("*").alias("total_items_quantity"),
+        total(item_cost()).alias("calculated_order_cost"), F.count("*").alias("total_items_quantity")
     )
 
 
 def payment_totals(order_payments: DataFrame) -> DataFrame:
-    return order_payments.groupBy("order_id").agg(
-        F.round(F.sum(F.col("payment_value").cast(EXACT)), 2).cast(MONEY).alias("total_payment_value"),
+    paid = F.col("payment_value").cast(EXACT)
+    return order_payments.groupBy("order_id").agg(total(paid).alias("total_payment_value"))
+
+
+def review_rows(order_reviews: DataFrame) -> DataFrame:
+    """(order_id, review, review_time): what is published of a review, and what makes it the latest."""
+    created = parse_review_time(F.col("review_creation_date")).alias("review_cre_datetime")
+    answered = parse_review_time(F.col("review_answer_timestamp")).alias("review_ans_datetime")
+    return order_reviews.select(
+        "order_id",
+        F.struct("review_score", created, answered).alias("review"),
+        F.struct(created, "review_id").alias("review_time"),
     )
 
 
@@ -126,22 +144,8 @@ def latest_review(order_reviews: DataFrame) -> DataFrame:
     An aggregate instead of a window: the winner is chosen before the shuffle
     already, so an order with very many reviews costs nothing extra.
     """
-    created = parse_review_time(F.col("review_creation_date"))
-    answered = parse_review_time(F.col("review_answer_timestamp"))
-    reviews = order_reviews.select(
-        "order_id", "review_id", "review_score", created.alias("created"), answered.alias("answered")
-    )
-    newest = F.max_by(F.struct("review_score", "created", "answered"), F.struct("created", "review_id"))
-    return (
-        reviews.groupBy("order_id")
-        .agg(newest.alias("review"))
-        .select(
-            "order_id",
-            F.col("review.review_score").alias("review_score"),
-            F.col("review.created").alias("review_cre_datetime"),
-            F.col("review.answered").alias("review_ans_datetime"),
-        )
-    )
+    newest = F.max_by("review", "review_time").alias("review")
+    return review_rows(order_reviews).groupBy("order_id").agg(newest).select("order_id", "review.*")
 
 
 def first_state(orders: DataFrame) -> DataFrame:
@@ -195,34 +199,30 @@ def date_validity() -> Column:
     return F.when(broken, "invalid").otherwise("valid")
 
 
-def order_facts(
-    bronze: Bronze, items: DataFrame | None = None, payments: DataFrame | None = None, *extra: str
-) -> DataFrame:
-    """All scalars of the silver table, one row per order, and `extra` columns of the totals given."""
-    items = item_totals(bronze.order_items) if items is None else items
-    payments = payment_totals(bronze.order_payments) if payments is None else payments
+def derived_facts() -> list[Column]:
+    """What is computed from an order, its two totals and its review."""
     estimated, delivered = F.col("order_estimated_delivery_date"), F.col("order_delivered_customer_date")
-    cost, paid = F.col("calculated_order_cost"), F.col("total_payment_value")
-    core = core_order(bronze.orders, bronze.customers)
-    joined = (
-        core.join(items, "order_id", "left")
-        .join(payments, "order_id", "left")
-        .join(latest_review(bronze.order_reviews), "order_id", "left")
-    )
-    none = F.lit(0).cast(MONEY)
-    return joined.select(
-        *core.columns,
+    cost, paid, none = F.col("calculated_order_cost"), F.col("total_payment_value"), F.lit(0).cast(MONEY)
+    return [
         F.coalesce(cost, none).alias("calculated_order_cost"),
         F.coalesce(paid, none).alias("total_payment_value"),
         payment_match(cost, paid, F.col("order_status")).alias("payment_match_flag"),
         on_time(delivered, estimated).alias("is_delivered_on_time"),
         early_days(estimated, delivered).alias("num_early_delivery_days"),
         date_validity().alias("date_validity"),
-        "review_score",
-        "review_cre_datetime",
-        "review_ans_datetime",
-        *extra,
+        *map(F.col, ("review_score", "review_cre_datetime", "review_ans_datetime")),
+    ]
+
+
+def order_facts(bronze: Bronze) -> DataFrame:
+    """All scalars of the silver table, one row per order."""
+    core = core_order(bronze.orders, bronze.customers)
+    joined = (
+        core.join(item_totals(bronze.order_items), "order_id", "left")
+        .join(payment_totals(bronze.order_payments), "order_id", "left")
+        .join(latest_review(bronze.order_reviews), "order_id", "left")
     )
+    return joined.select(*core.columns, *derived_facts())
 
 
 # ---------------------------------------------------------------- both forms
@@ -269,27 +269,45 @@ class Silver:
             written = pool.map(lambda name: cut_lineage(getattr(self, name)), names)
             return Silver(**dict(zip(names, written)))
 
-    def mix(
-        self, part: str, keys: Sequence[str], measures: Sequence[Column], order_columns: Sequence[str] = ()
-    ) -> DataFrame:
-        """A child aggregated per order and `keys`, with the order's scalars alongside.
+    @property
+    def rows(self) -> DataFrame:
+        """The orders, with their arrays if nested; unused columns drop out of a plan."""
+        return self.orders if self.table is None else self.table
+
+    def crossed(self, orders: DataFrame, columns: Sequence[str], *tallies: Tally) -> DataFrame:
+        """One row per order of `orders` and keys of every tally, with the order's `columns` alongside.
 
-        This is the building block of the gold tables: products of child rows
-        become products of small per-order counts, and a very large order is
-        combined to a few rows before it is shuffled or joined.
+        `orders` are rows of `self.rows`. This is the building block of the gold
+        tables: products of children become products of small per-order counts.
+        Flat children are combined before they are shuffled or joined; nested
+        ones never leave their row, so the table is read once and nothing is
+        shuffled by order.
         """
-        if self.table is not None and order_columns:
-            return _grouped(exploded(self.table, part, order_columns), ["order_id", *order_columns, *keys], measures)
-        if self.table is not None:
-            # An order stored twice holds its children twice; every copy gives the same groups.
-            copies = self.table.select("order_id", ARRAYS[part], F.monotonically_increasing_id().alias("copy"))
-            by_copy = _grouped(exploded(copies, part, ["copy"]), ["order_id", "copy", *keys], measures)
-            names = [c for c in by_copy.columns if c not in ("order_id", "copy", *keys)]
-            return _grouped(by_copy, ["order_id", *keys], [F.max_by(c, "copy").alias(c) for c in names])
-        per_order = _grouped(getattr(self, part), ["order_id", *keys], measures)
-        if not order_columns:
-            return per_order
-        return per_order.join(self.orders.select("order_id", *order_columns), "order_id")
+        if self.table is None:
+            found = orders.select("order_id", *columns)
+            for t in tallies:
+                per_order = _grouped(getattr(self, t.part), ["order_id", *t.keys], t.measures())
+                found = found.join(per_order, "order_id", "left" if t.optional else "inner")
+            return found
+        found = orders.select("order_id", *columns, *{ARRAYS[t.part] for t in tallies})
+        names = [f"tally_{i}" for i in range(len(tallies))]
+        for name, t in zip(names, tallies):
+            found = with_tally(found, ARRAYS[t.part], t, name)
+        found = found.select("order_id", *columns, *names)
+        for name, t in zip(names, tallies):
+            found = unfolded(found, t, name)
+        return found
+
+    def with_first(self, orders: DataFrame, part: str, number: str, columns: Mapping[str, str]) -> DataFrame:
+        """`orders` with `number` of children (null if none) and `columns` (name: field) of the first one by item id."""
+        if self.table is None:
+            first = [F.min_by(c, "order_item_id").alias(name) for name, c in columns.items()]
+            return orders.join(_grouped(getattr(self, part), ["order_id"], [F.count("*").alias(number), *first]), "order_id", "left")
+        array = ARRAYS[part]
+        # Arrays are in the order of item ids, unknown ids before all others.
+        first = F.get(F.filter(array, lambda x: x["order_item_id"].isNotNull()), F.lit(0))
+        size = F.when(F.size(array) > 0, F.size(array).cast("long"))
+        return orders.withColumns({number: size, **{name: first[c] for name, c in columns.items()}})
 
 
 # ---------------------------------------------------------------- nested table
@@ -321,13 +339,52 @@ def payments_agg(order_payments: DataFrame) -> DataFrame:
     """Payment array per order, with the order's total."""
     rows = payment_rows(order_payments)
     return rows.groupBy("order_id").agg(
-        F.round(F.sum("payment_value"), 2).cast(MONEY).alias("total_payment_value"),
-        _sorted_structs(PAYMENT_FIELDS).alias("payments_array"),
+        total(F.col("payment_value")).alias("total_payment_value"), _sorted_structs(PAYMENT_FIELDS).alias("payments_array")
     )
 
 
 def denormalized_orders(bronze: Bronze) -> DataFrame:
-    """The nested silver table, to be stored; all its joins and aggregates are by order."""
-    children = items_agg(bronze).join(sellers_agg(bronze), "order_id", "left")
-    nested = order_facts(bronze, children, payments_agg(bronze.order_payments), *ARRAYS.values())
+    """The nested silver table, to be stored, in one shuffle by order.
+
+    Orders, items, sellers, payments and reviews are one tagged union, each in
+    columns of its own and null elsewhere. A single aggregate by order turns
+    it into totals, the latest review and the arrays. An order that is stored
+    twice comes out twice, each time with all children; children of no stored
+    order go. Amounts come from the raw items, so that a product that is
+    listed twice repeats elements of the array only.
+    """
+    core = core_order(bronze.orders, bronze.customers)
+    sellers = seller_rows(bronze.order_items, bronze.sellers)
+    children = {
+        "order_items_array": (
+            item_rows(bronze.order_items, bronze.products, bronze.product_category_name_translation),
+            ITEM_FIELDS,
+        ),
+        "sellers_array": (sellers, [c for c in sellers.columns if c != "order_id"]),
+        "payments_array": (payment_rows(bronze.order_payments), PAYMENT_FIELDS),
+    }
+    parts = [
+        bronze.order_items.select("order_id", item_cost().alias("cost")),
+        bronze.order_payments.select("order_id", F.col("payment_value").cast(EXACT).alias("paid")),
+        review_rows(bronze.order_reviews),
+        *[rows.select("order_id", F.struct(*fields).alias(array)) for array, (rows, fields) in children.items()],
+    ]
+    # No child belongs to an order without id, as in a join.
+    union = core.select("order_id", F.struct(*core.columns).alias("core"))
+    for rows in parts:
+        union = union.unionByName(rows.where("order_id IS NOT NULL"), allowMissingColumns=True)
+
+    def array(name: str) -> Column:
+        collected = F.sort_array(F.collect_list(name))
+        return F.when(F.size(collected) > 0, collected).alias(name)
+
+    orders = union.groupBy("order_id").agg(
+        F.collect_list("core").alias("copies"),
+        total(F.col("cost")).alias("calculated_order_cost"),
+        total(F.col("paid")).alias("total_payment_value"),
+        F.max_by("review", "review_time").alias("review"),
+        *map(array, children),
+    )
+    copies = orders.select(F.inline("copies"), "calculated_order_cost", "total_payment_value", "review.*", *children)
+    nested = copies.select(*core.columns, *derived_facts(), *children)
     return nested.withColumn("_ingest_ts", F.current_timestamp())

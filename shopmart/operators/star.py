@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.functions.columns import MONEY, early_days, on_time
+from shopmart.functions.columns import EXACT, early_days, on_time
 from shopmart.operators import gold
 from shopmart.operators.silver import (
     MATCH_TOLERANCE,
@@ -75,7 +75,7 @@ def star_payment_behavior(bronze: Bronze) -> DataFrame:
 
 def star_seller_performance(bronze: Bronze) -> DataFrame:
     items = _items_by_category(
-        bronze, ["seller_id"], F.count("*").alias("n"), F.sum(F.col("price").cast(MONEY)).alias("revenue")
+        bronze, ["seller_id"], F.count("*").alias("n"), F.sum(F.col("price").cast(EXACT)).alias("revenue")
     )
     orders = bronze.orders.where(F.col("order_status") == gold.DELIVERED).select(
         "order_id", _punctual().alias("is_delivered_on_time")
@@ -119,4 +119,4 @@ def star_cohort_retention_product(bronze: Bronze) -> DataFrame:
         F.min("order_item_id").alias("first_item"),
         F.min_by("product_category", "order_item_id").alias("first_category"),
     )
-    return gold.cohort_retention_product_of(_delivered(bronze), first_items)
+    return gold.cohort_retention_product_of(_delivered(bronze).join(first_items, "order_id", "left"))

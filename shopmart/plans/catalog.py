@@ -16,7 +16,7 @@ from shopmart.operators.silver import Silver
 from shopmart.session import cut_lineage, shared_dir
 from shopmart.sources import storage
 from shopmart.sources.bronze import Bronze, read_csv
-from shopmart.sources.sample import dirty_bronze, sample_bronze
+from shopmart.sources.sample import dirty_bronze, sample_bronze, thirds_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -48,9 +48,16 @@ def plain_money(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("double") for c in decimals})
 
 
+AMOUNTS = ("price", "freight_value", "payment_value")
+
+
 def list_text(array: str, fields: tuple[str, ...]) -> Column:
-    """An array of structs as one comparable text."""
-    return F.array_join(F.transform(array, lambda x: F.concat_ws("|", *[x[f].cast("string") for f in fields])), ";")
+    """An array of structs as one comparable text; amounts without trailing zeros."""
+
+    def text(x: Column, field: str) -> Column:
+        return (x[field].cast("double") if field in AMOUNTS else x[field]).cast("string")
+
+    return F.array_join(F.transform(array, lambda x: F.concat_ws("|", *[text(x, f) for f in fields])), ";")
 
 
 def flat_arrays(df: DataFrame) -> DataFrame:
@@ -144,7 +151,7 @@ def nested_silver(bronze: Bronze) -> Silver:
     return Silver.from_table(cut_lineage(silver.denormalized_orders(bronze)))
 
 
-def _on(source: Callable[[SparkSession, str], Bronze], form: Callable[[Bronze], Silver], build) -> Query:
+def _on(source: Callable[[SparkSession, str], Bronze], form: Callable[[Bronze], object], build) -> Query:
     return lambda spark, sf_dir: build(form(source(spark, sf_dir)))
 
 
@@ -154,6 +161,18 @@ for _name in DIRTY_TABLES:
     register(f"{_name}_dirty", _on(dirty_bronze, Silver.from_bronze, GOLD_TABLES[_name]))
     register(f"{_name}_dirty_nested", _on(dirty_bronze, nested_silver, GOLD_TABLES[_name]))
 
+THIRDS_TABLES: dict[str, Callable[[Bronze], DataFrame]] = {
+    "silver_items_agg": _items_agg,
+    "silver_payments_agg": lambda b: flat_arrays(silver.payments_agg(b.order_payments)),
+    "silver_denormalized_orders": _denormalized,
+    "star_seller_performance": star.star_seller_performance,
+}
+for _name, _thirds in THIRDS_TABLES.items():
+    register(f"{_name}_thirds", _on(thirds_bronze, lambda bronze: bronze, _thirds))
+for _name in DIRTY_TABLES:
+    register(f"{_name}_thirds", _on(thirds_bronze, Silver.from_bronze, GOLD_TABLES[_name]))
+    register(f"{_name}_thirds_nested", _on(thirds_bronze, nested_silver, GOLD_TABLES[_name]))
+
 # ---------------------------------------------------------------- star schema
 
 on_bronze("star_customer_ltv", star.star_customer_ltv)

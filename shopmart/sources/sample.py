@@ -67,3 +67,13 @@ def dirty_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
         orders=spark.sql(DIRTY["orders_dirty"], b_orders=bronze.orders),
         products=spark.sql(DIRTY["products_dirty"], products=bronze.products),
     )
+
+
+def thirds_bronze(spark: SparkSession, sf_dir: str) -> Bronze:
+    """The sample with amounts of three decimal places, which must be summed before they are rounded."""
+    bronze = sample_bronze(spark, sf_dir)
+    return replace(
+        bronze,
+        order_items=spark.sql(DIRTY["items_thirds"], order_items=bronze.order_items),
+        order_payments=spark.sql(DIRTY["payments_thirds"], order_payments=bronze.order_payments),
+    )

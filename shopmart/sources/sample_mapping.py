@@ -137,5 +137,17 @@ from {b_orders} where cast(substr(order_id, 2) as bigint) % 500 = 0
     "products_dirty": """
 select * from {products}
 union all select * from {products} where cast(substr(product_id, 2) as bigint) % 100 = 0
+""",
+    # Amounts of three places, whose rounded values add up to something else.
+    "items_thirds": """
+select order_id, order_item_id, product_id, seller_id, shipping_limit_date,
+  cast(price as decimal(24,6)) + cast(0.005 as decimal(24,6)) price,
+  cast(freight_value as decimal(24,6)) + cast(0.004 as decimal(24,6)) freight_value
+from {order_items}
+""",
+    "payments_thirds": """
+select order_id, payment_sequential, payment_type, payment_installments,
+  cast(payment_value as decimal(24,6)) + cast(0.005 as decimal(24,6)) payment_value
+from {order_payments}
 """,
 }

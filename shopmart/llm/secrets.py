@@ -16,6 +16,7 @@ import math
 import re
 from itertools import zip_longest
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -45,10 +46,16 @@ _HEX = re.compile(r"[0-9a-f]{32,}")
 
 # ---------------------------------------------------------------- credential contexts
 
+# A key word stands alone, starts a hump of a joined name, or is one of those that fixed shapes find anywhere;
+# further parts of a joined name may follow it.
 _CONTEXT = re.compile(
-    r"(?<![A-Za-z])(?:pass(?:word|wd|phrase|code|key)?|pwd|pin|secret|token|credentials?|api_?key|access_?key|auth|bearer|private_?key)"
-    r"[\"']?(?:[ \t]{0,4}(?::=|=>|[:=])[ \t]{0,4}|(?P<is>[ \t]{1,4}is[ \t]{1,4}))"
-    r"(?:\"(?P<double>[^\"\n]+)\"|'(?P<single>[^'\n]+)'|(?P<bare>[^\s\"'<>]+))",
+    r"(?:(?:(?<![A-Za-z])|(?-i:(?<=[a-z0-9])(?=[A-Z])))"
+    r"(?:pass(?:word|wd|phrase|code|key)?|pwd|pin|credentials?|access_?key|auth|bearer|private_?key)"
+    r"|password|passwd|secret|token|api_?key)"
+    r"(?:[_-][A-Za-z0-9]++|(?-i:[A-Z][a-z0-9]++)|[0-9]++)*+"
+    r"[\"']?(?:[ \t]*+(?::=|=>|[:=])[ \t]*+|(?P<is>[ \t]++is[ \t]++))"
+    r"(?:\"(?P<double>[^\"\n]+)\"|'(?P<single>[^'\n]+)'"
+    r"|(?P<bare>[^\s\"'<>](?:[^\s\"'<>]|[\"'](?=[^\s\"'<>,;)}\]])|<(?![/!A-Za-z])|>(?=[^\s\"'<>]))*))",
     re.IGNORECASE | re.ASCII,
 )
 _CONTEXT_HINTS = ("pass", "pwd", "pin", "secret", "token", "credential", "key", "auth", "bearer")
@@ -101,6 +108,7 @@ _NEXT_KEYS = {a + b for row in _ROWS for a, b in zip(row, row[1:])} | {b + a for
 # Digits that stand for letters.
 _LEET = str.maketrans("013457@$!", "oieastasi")
 
+_DATE_LENGTHS = range(4, 11)
 _DATE = re.compile(
     r"(?:19|20)[0-9]{2}(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12][0-9]|3[01]))?)?"
     r"|(?:0?[1-9]|[12][0-9]|3[01])[-/._]?(?:0?[1-9]|1[0-2])[-/._]?(?:19|20)?[0-9]{2}"
@@ -139,26 +147,26 @@ class GuessCost:
     def __call__(self, value: str) -> float:
         n = len(value)
         low = value.lower()
-        # Where the run of equal characters, equal steps or neighbouring keys that ends here began.
+        # Where the run of equal characters, neighbouring keys or equal steps that ends here began.
         same = walk = step = 0
         runs: list[tuple[int, int, int]] = []
         for i in range(n):
             if i and value[i] != value[i - 1]:
                 same = i
-            if i and low[i - 1] + low[i] not in _NEXT_KEYS:
+            if i and value[i - 1].lower() + value[i].lower() not in _NEXT_KEYS:
                 walk = i
             delta = ord(value[i]) - ord(value[i - 1]) if i else 0
             if i and (abs(delta) != 1 or (i - step > 1 and delta != ord(value[i - 1]) - ord(value[i - 2]))):
                 step = i - 1 if abs(delta) == 1 else i
             runs.append((same, walk, step))
-        dates: dict[int, list[int]] = {}
-        for start in range(n):
-            found = _DATE.match(value, start)
-            if found:
-                dates.setdefault(found.end(), []).append(start)
+        # Blocks that may end here as the second of two equal ones, by the place from which on they may.
+        opening: dict[int, list[tuple[int, int]]] = {}
+        for first, last, size in repeats(value):
+            opening.setdefault(first + 2 * size, []).append((size, last))
+        blocks: list[tuple[int, int]] = []
         # Cheapest cuts that end in brute force, and that end in another part.
         force, known = [math.inf] * (n + 1), [math.inf] * (n + 1)
-        best = [0.0] * (n + 1)
+        best = np.zeros(n + 1)
         for end in range(1, n + 1):
             # One more character of brute force, or a new stretch of it.
             force[end] = min(force[end - 1], best[end - 1] + (_PART if end > 1 else 0.0)) + _CHAR
@@ -169,19 +177,57 @@ class GuessCost:
                     options.append((start, word))
             if value[end - 1] == " ":
                 options.append((end - 1, _BLANK))
-            for start in dates.get(end, ()):
-                options.append((start, _YEAR if end - start == 4 else _FULL_DATE))
-            for start, first in zip(runs[end - 1], (math.log10(95), math.log10(40), math.log10(60))):
-                if end - start >= 3:
-                    options.append((start, first + math.log10(end - start)))
-            # A block said twice or more costs the block and the number of times.
-            for size in range(2, min(32, end // 2) + 1):
-                if value[end - size : end] == value[end - 2 * size : end - size]:
-                    options.append((end - size, math.log10(2)))
+            if value[end - 1].isdigit():
+                for size in _DATE_LENGTHS:  # every way to write a date
+                    if size <= end and _DATE.fullmatch(value, end - size, end):
+                        options.append((end - size, _YEAR if size == 4 else _FULL_DATE))
             for start, cost in options:
                 known[end] = min(known[end], best[start] + cost + (_PART if start else 0.0))
+            for begin, first in zip(runs[end - 1], (math.log10(95), math.log10(40), math.log10(60))):
+                if end - begin >= 3:
+                    starts = np.arange(begin, end - 2)
+                    parts = best[starts] + first + np.log10(end - starts) + np.where(starts > 0, _PART, 0.0)
+                    known[end] = min(known[end], float(parts.min()))
+            # A block said again costs no more than that it is.
+            blocks = [b for b in blocks if b[1] >= end] + opening.get(end, [])
+            if blocks:
+                sizes = np.array([size for size, _ in blocks])
+                known[end] = min(known[end], float(best[end - sizes].min()) + math.log10(2) + _PART)
             best[end] = min(force[end], known[end])
-        return best[n]
+        return float(best[n])
+
+
+def _alike(value: str, a: int, b: int) -> int:
+    """How many characters from two places on are the same; the second place is the later one."""
+    n, step = 0, 8
+    while value[a + n : a + n + step] == value[b + n : b + n + step] and b + n + step <= len(value):
+        n, step = n + step, step * 2
+    while b + n < len(value) and value[a + n] == value[b + n]:
+        n += 1
+    return n
+
+
+def repeats(value: str) -> list[tuple[int, int, int]]:
+    """(start, end, size): every longest stretch in which the character `size` places on is the same, two blocks or more.
+
+    Every such stretch holds a multiple of its size at which both blocks agree, so n / size places are tried for
+    each size. Blocks of one character are runs of it and are left out.
+    """
+    found = []
+    back = value[::-1]
+    n = len(value)
+    for size in range(2, n // 2 + 1):
+        at = 0
+        while at + size < n:
+            if value[at] == value[at + size]:
+                ahead = _alike(value, at, at + size)
+                behind = _alike(back, n - at - size, n - at) if at else 0
+                if ahead + behind >= size:
+                    found.append((at - behind, at + ahead + size, size))
+                at += max(size, ahead // size * size)
+            else:
+                at += size
+    return sorted(set(found))
 
 
 # ---------------------------------------------------------------- spans

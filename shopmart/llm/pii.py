@@ -5,9 +5,10 @@ transducers rewrite the text while they keep, for every character they put
 out, the stretch of source characters it stands for:
 
 1. look-alike and styled characters become ASCII, invisible ones vanish;
-2. runs of spelled digits ("five five five", "double two") become digits;
-3. "at" and "dot" in brackets, or as words between the parts of an address,
-   become @ and a full stop.
+2. runs of digits that are spelled ("five five five", "double two"), wholly or
+   beside figures, become figures;
+3. "at" and "dot" in brackets, as words or with blanks around the signs between
+   the parts of an address become @ and a full stop.
 
 The same detectors run on the rewritten text, and what they find is mapped
 back. A find counts as disguised only if it covers a rewritten place.
@@ -30,7 +31,7 @@ from shopmart.llm.common import Batches, batch, map_rows, slices, texts_of
 KINDS = ("email", "ip", "card", "phone")
 Span = tuple[int, int, str]  # start, end, kind
 
-FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
+FOUND = "doc_id long, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string, n_spans long"
 
 # ---------------------------------------------------------------- detectors
 
@@ -115,28 +116,29 @@ _DIGITS = {
 }
 _TIMES = {"double": 2, "triple": 3}
 _DIGIT_WORD = "(?:" + "|".join(_DIGITS) + ")"
-# At least three digits in a row, one of them spelled in full; single figures may stand between.
-_SPELLED = re.compile(
-    rf"\b(?:(?:double|triple)\s+)?{_DIGIT_WORD}(?:[\s,.-]{{1,3}}(?:(?:double|triple)\s+)?(?:{_DIGIT_WORD}|[0-9]+)){{2,}}\b",
-    re.IGNORECASE,
-)
+_DIGIT_PART = rf"(?:(?:(?:double|triple)\s+)?{_DIGIT_WORD}|[0-9]+)"
+# Digits in a row, some in words and some in figures; the detectors decide whether they are an identifier.
+_SPELLED = re.compile(rf"(?<![0-9A-Za-z]){_DIGIT_PART}(?:[\s,.-]{{1,3}}{_DIGIT_PART})+(?![0-9A-Za-z])", re.IGNORECASE)
+# A word beside another digit, without which no run holds a word.
+_BESIDE = re.compile(rf"{_DIGIT_WORD}[\s,.-]{{1,3}}{_DIGIT_PART}|[0-9][\s,.-]{{1,3}}{_DIGIT_PART}", re.IGNORECASE)
 _SPELLED_PART = re.compile(rf"(?:(double|triple)\s+)?({_DIGIT_WORD})|([0-9]+)|[^0-9A-Za-z]+", re.IGNORECASE)
 
 _BRACKETED = re.compile(r"(?<!\s)\s*[\[({<]\s*(at|dot)\s*[\])}>]\s*", re.IGNORECASE)
 _PART = r"[A-Za-z0-9_%+-]+"
-_JOIN = r"(?:\.|\s+dot\s+)"
-# Addresses in words: "name at host dot tld" (not "at the ..."), "a dot b@host.tld", "1 dot 2 dot 3 dot 4".
-_SPOKEN = (
-    re.compile(
-        rf"(?<![\w.%+-]){_PART}(?:{_JOIN}{_PART}){{0,9}}(?:\s+at\s+(?!(?:the|a|an|this|that|my|our|your)\s)|@)"
-        rf"{_PART}(?:{_JOIN}{_PART}){{0,9}}?\s+dot\s+[A-Za-z]{{2,}}(?:\s+dot\s+[A-Za-z]{{2,}})?\b",
-        re.IGNORECASE,
-    ),
-    re.compile(rf"(?<![\w.%+-]){_PART}(?:\s+dot\s+{_PART}){{1,9}}\s*@\s*{_PART}(?:\.{_PART}){{1,9}}", re.IGNORECASE),
-    re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\s+dot\s+[0-9]{1,3}){3}\b", re.IGNORECASE),
-)
-_WORD_SIGN = re.compile(r"\s+(at|dot)\s+", re.IGNORECASE)
+# Parts of an address in a chain: joined by a full stop, by "dot" between blanks, or by a full stop between blanks.
+_CHAIN = re.compile(rf"(?<![\w.%+-]){_PART}+(?:(?:\.|\s+(?:dot|\.)\s+){_PART}+)*+", re.IGNORECASE)
+_AT = re.compile(r"\s+at\s+|\s*@\s*", re.IGNORECASE)
+_JOINS = re.compile(r"\s+(?:dot|\.)\s+", re.IGNORECASE)
+_ENDS_IN_NAME = re.compile(r"(?:\.|\s)[A-Za-z]{2,}$")
+_SPOKEN_AT = re.compile(r"\sat\s+[A-Za-z0-9-]+\.[A-Za-z]|\s@|@\s", re.IGNORECASE)
+_SPOKEN_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\s+dot\s+[0-9]{1,3}){3}\b", re.IGNORECASE)
 _SIGNS = {"at": "@", "dot": "."}
+# Words behind "at" that begin prose, and words before it that do so where the host is in plain form.
+_PROSE_AFTER = frozenset("the a an this that my our your".split())
+_PROSE_BEFORE = frozenset(
+    "look looking see us me you him her it them visit meet is are was be available found online here there live page "
+    "pages site website sites home today now or and more details read listed hosted only out up also even not".split()
+)
 
 
 @dataclass
@@ -200,6 +202,8 @@ def plain_characters(tape: Tape) -> Tape:
 def spelled_digits(tape: Tape) -> Tape:
     edits = []
     for run in _SPELLED.finditer(tape.text):
+        if run.group().isascii() and not any(c.isalpha() for c in run.group()):
+            continue  # figures alone
         for part in _SPELLED_PART.finditer(run.group()):
             times, word, figures = part.groups()
             text = _DIGITS[word.lower()] * _TIMES.get((times or "").lower(), 1) if word else figures or ""
@@ -211,17 +215,49 @@ def spelled_digits(tape: Tape) -> Tape:
     return tape.rewrite(edits) if edits else tape
 
 
+def _spoken_addresses(text: str) -> Iterator[tuple[int, int, str]]:
+    """Edits that make addresses in words plain: "name at host dot tld", "name at host.tld", "a dot b @ host . tld"."""
+    before: re.Match | None = None  # a chain that is no "at"
+    at = -1  # where the chain before ends if only "at" or @ lies behind it
+    for chain in _CHAIN.finditer(text):
+        sign = _AT.fullmatch(text, before.end(), chain.start()) if before else None
+        word = chain.group().lower() == "at"
+        if word and before and text[before.end() : chain.start()].isspace() and at < 0:
+            at = before.end()
+            continue
+        local, begin, spoken = before, at, at >= 0
+        if not spoken and sign:
+            begin = local.end()
+        before, at = chain, -1
+        if local is None or begin < 0 or not _is_address(local.group(), chain.group(), spoken):
+            continue
+        for part in (local, chain):
+            for join in _JOINS.finditer(text, part.start(), part.end()):
+                yield join.start(), join.end(), "."
+        if chain.start() - begin > 1:
+            yield begin, chain.start(), "@"
+
+
+def _is_address(local: str, host: str, spoken: bool) -> bool:
+    """Whether two chains around a sign make an address; prose is told apart if the sign is the word "at"."""
+    if not _ENDS_IN_NAME.search(host):
+        return False
+    if not spoken:
+        return True
+    if any("." in join.group() for join in _JOINS.finditer(host)):
+        return False  # a sentence may end in a full stop between blanks
+    if host.split()[0].lower() in _PROSE_AFTER:
+        return False
+    return _JOINS.search(local + host) is not None or local.lower() not in _PROSE_BEFORE
+
+
 def at_and_dot(tape: Tape) -> Tape:
     edits = [(m.start(), m.end(), _SIGNS[m.group(1).lower()]) for m in _BRACKETED.finditer(tape.text)]
     tape = tape.rewrite(edits) if edits else tape
-    edits: list[tuple[int, int, str]] = []
-    for shape in _SPOKEN:
-        for found in shape.finditer(tape.text):
-            for sign in _WORD_SIGN.finditer(found.group()):
-                edit = (found.start() + sign.start(), found.start() + sign.end(), _SIGNS[sign.group(1).lower()])
-                if all(edit[1] <= a or b <= edit[0] for a, b, _ in edits):
-                    edits.append(edit)
-    return tape.rewrite(sorted(edits)) if edits else tape
+    edits = list(_spoken_addresses(tape.text))
+    for found in _SPOKEN_IP.finditer(tape.text):
+        edits += [(j.start(), j.end(), ".") for j in _JOINS.finditer(tape.text, found.start(), found.end())]
+    return tape.rewrite(sorted(set(edits))) if edits else tape
 
 
 def normalise(text: str) -> Tape:
@@ -233,9 +269,11 @@ def _may_hide(text: str) -> bool:
     if not text.isascii() and _FOREIGN.search(text):
         return True
     low = text.lower()
-    return "dot" in low or (sum(low.count(word) for word in _DIGITS) >= 3 and _SPELLED.search(text) is not None) or (
-        _BRACKETED.search(text) is not None if "at" in low and any(c in text for c in "[({<") else False
-    )
+    if "dot" in low or ("at" in low and any(c in text for c in "[({<") and _BRACKETED.search(text)):
+        return True
+    if ("@" in text or "at" in low) and _SPOKEN_AT.search(text):
+        return True
+    return any(word in low for word in _DIGITS) and _BESIDE.search(text) is not None
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:
@@ -264,7 +302,7 @@ def written(spans: list[Span]) -> str:
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
-    """One row per row of `docs` with counts of the plain kinds, their digest and all spans.
+    """One row per row of `docs` with counts of the plain kinds, their digest, all spans and their number.
 
     A null text is empty and has none. Repeated rows and ids are handled row
     by row; an empty table gives an empty one.
@@ -277,9 +315,9 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
                 counts = [[sum(k == kind for _, _, k in base) for base, _ in results] for kind in KINDS]
                 digests = [hashlib.sha256(written(base).encode()).hexdigest() for base, _ in results]
                 yield batch(
-                    ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"],
-                    [part.column("doc_id"), *counts, digests, [written(spans) for _, spans in results]],
-                    [pa.int64()] * 5 + [pa.string()] * 2,
+                    ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans", "n_spans"],
+                    [part.column("doc_id"), *counts, digests, [written(spans) for _, spans in results], [len(s) for _, s in results]],
+                    [pa.int64()] * 5 + [pa.string()] * 2 + [pa.int64()],
                 )
 
     return map_rows(texts_of(docs).withColumn("doc_id", F.col("doc_id").cast("long")), work, FOUND)

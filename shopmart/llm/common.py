@@ -8,6 +8,7 @@ from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
 # One task gets record batches of documents and yields batches of results.
@@ -21,6 +22,17 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.selectExpr("doc_id", "text", *more)
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """All columns of `docs` as one struct `row`, so that no name of an operator meets one of theirs."""
+    return docs.select(F.struct("*").alias("row"))
+
+
+def texts_in(part: pa.RecordBatch) -> list[str | None]:
+    """The texts of a batch, in a column of their own or carried."""
+    names = part.schema.names
+    return (part.column("text") if "text" in names else part.column("row").field("text")).to_pylist()
+
+
 def importable(spark: SparkSession) -> None:
     """Lets the Python workers of functions made from now on import this package."""
     environment = spark.sparkContext.environment

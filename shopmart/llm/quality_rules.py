@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import Batches, map_rows, slices, with_long
+from shopmart.llm.common import Batches, carried, map_rows, slices, texts_in, with_long
 from shopmart.session import cut_lineage
 
 MIN_WORDS = 10
@@ -204,23 +204,22 @@ def clean(docs: DataFrame, **limits: float) -> DataFrame:
     looked up by these.
     """
     seen = cut_lineage(judge(docs, **limits)).where("kept")
-    verdicts = seen.groupBy(
-        F.col("doc_id").alias("v_id"), F.col("source").alias("v_source"), F.col("text_hash").alias("v_hash")
-    ).agg(F.first("removed_lines").alias("v_lines"))
+    verdicts = seen.groupBy("doc_id", "source", "text_hash").agg(F.first("removed_lines").alias("removed"))
 
     def with_hash(rows: Batches) -> Batches:
         for part in rows:
-            hashes = [_hash(t or "") for t in part.column("text").to_pylist()]
-            yield part.append_column("v_text_hash", pa.array(hashes, pa.int64()))
+            hashes = [_hash(t or "") for t in texts_in(part)]
+            yield part.append_column("hash", pa.array(hashes, pa.int64()))
 
-    hashed = map_rows(docs, with_hash, with_long(docs, "v_text_hash"))
+    rows = carried(docs)
+    hashed = map_rows(rows, with_hash, with_long(rows, "hash"))
     joined = hashed.join(
         verdicts,
-        (hashed["v_text_hash"] == verdicts["v_hash"])
-        & hashed["doc_id"].cast("long").eqNullSafe(verdicts["v_id"])
-        & hashed["source"].cast("string").eqNullSafe(verdicts["v_source"]),
+        (hashed["hash"] == verdicts["text_hash"])
+        & hashed["row.doc_id"].cast("long").eqNullSafe(verdicts["doc_id"])
+        & hashed["row.source"].cast("string").eqNullSafe(verdicts["source"]),
     )
-    lines = F.split("text", "\n", -1)
-    rest = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("v_lines", i.cast("int"))), "\n")
-    text = F.when(F.size("v_lines") > 0, rest).otherwise(F.col("text"))
-    return joined.withColumn("text", text).select(*docs.columns)
+    lines = F.split("row.text", "\n", -1)
+    rest = F.array_join(F.filter(lines, lambda _, i: ~F.array_contains("removed", i.cast("int"))), "\n")
+    text = F.when(F.size("removed") > 0, rest).otherwise(F.col("row.text"))
+    return joined.select(F.col("row").withField("text", text).alias("row")).select("row.*")

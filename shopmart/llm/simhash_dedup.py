@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import Batches, map_rows, slices, texts_of, with_long
+from shopmart.llm.common import Batches, carried, map_rows, slices, texts_in, texts_of, with_long
 from shopmart.llm.components import components
 from shopmart.session import cut_lineage
 
@@ -61,12 +61,12 @@ def _signed(value: int) -> int:
 
 
 def with_fingerprint(docs: DataFrame, column: str, size: int = SHINGLE_WORDS) -> DataFrame:
-    """`docs` with the fingerprint as a signed long; a null text counts as empty."""
+    """`docs`, plain or carried, with the fingerprint as a signed long; a null text counts as empty."""
 
     def work(rows: Batches) -> Batches:
         for full in rows:
             for part in slices(full):
-                values = [_signed(fingerprint(t or "", size)) for t in part.column("text").to_pylist()]
+                values = [_signed(fingerprint(t or "", size)) for t in texts_in(part)]
                 yield part.append_column(column, pa.array(values, pa.int64()))
 
     return map_rows(docs, work, with_long(docs, column))
@@ -247,28 +247,28 @@ def keep_first(docs: DataFrame, size: int = SHINGLE_WORDS, radius: int = RADIUS,
     Of several texts under that id the smallest by length and hash stays, and
     of repeated rows one.
     """
-    hashed = with_fingerprint(docs, "v_fp", size).withColumns(
-        {"v_size": F.octet_length("text"), "v_hash": F.xxhash64("text"), "v_id": F.col("doc_id").cast("long")}
+    hashed = with_fingerprint(carried(docs), "fp", size).withColumns(
+        {"size": F.octet_length("row.text"), "hash": F.xxhash64("row.text"), "id": F.col("row.doc_id").cast("long")}
     )
     stored = cut_lineage(hashed)
-    keys = ["v_fp", "v_size", "v_hash"]
-    light = stored.select("v_id", *keys)
-    heads = classes(light.select(F.col("v_id").alias("doc_id"), F.col("v_fp").alias("fp")), radius, tile).where("fp = head")
+    light = stored.select("id", "fp", "size", "hash")
+    named = classes(light.select(F.col("id").alias("doc_id"), "fp"), radius, tile)
+    heads = named.where("fp = head").select(F.col("fp").alias("head_fp"), "component_id")
     candidates = light.join(
-        heads, (light["v_fp"] == heads["fp"]) & light["v_id"].eqNullSafe(heads["component_id"]), "left_semi"
+        heads, (light["fp"] == heads["head_fp"]) & light["id"].eqNullSafe(heads["component_id"]), "left_semi"
     )
-    counted = candidates.groupBy("v_id", *keys).agg(F.count("*").alias("n"))
-    chosen = counted.groupBy("v_fp").agg(F.min(F.struct("v_size", "v_hash", "v_id", "n")).alias("best"))
-    kept = cut_lineage(chosen.select(F.col("v_fp").alias("k_fp"), "best.*"))
+    counted = candidates.groupBy("id", "fp", "size", "hash").agg(F.count("*").alias("n"))
+    chosen = counted.groupBy("fp").agg(F.min(F.struct("size", "hash", "id", "n")).alias("best"))
+    kept = cut_lineage(chosen.select(F.col("fp").alias("kept_fp"), "best.*"))
 
     def rows_of(kept: DataFrame) -> DataFrame:
-        same = stored["v_fp"] == kept["k_fp"]
-        for column in ("v_size", "v_hash", "v_id"):
+        same = stored["fp"] == kept["kept_fp"]
+        for column in ("size", "hash", "id"):
             same &= stored[column].eqNullSafe(kept[column])
         return stored.join(kept, same, "left_semi")
 
-    first = rows_of(kept.where("n = 1")).select(*docs.columns)
+    first = rows_of(kept.where("n = 1")).select("row.*")
     repeated = kept.where("n > 1")
     if repeated.isEmpty():
         return first
-    return first.unionByName(rows_of(repeated).dropDuplicates(["v_fp"]).select(*docs.columns))
+    return first.unionByName(rows_of(repeated).dropDuplicates(["fp"]).select("row.*"))

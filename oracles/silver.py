@@ -167,6 +167,8 @@ select * from {order_sellers} where order_id in (select order_id from {b_orders}
     "bronze_csv_roundtrip": query("""
 select * replace (cast(price as double) as price, cast(freight_value as double) as freight_value)
 from {order_items}"""),
+    "silver_append_nested": query(DENORMALIZED + """
+union all by name select null order_id where exists (select 1 from {b_orders})"""),
     "silver_incremental_append": query("""
 select * from {flat_facts} union all by name select null order_id where exists (select 1 from {b_orders})"""),
 }

@@ -565,9 +565,6 @@ register("ml_ltv_regression", _ltv_regression)
 
 # ---------------------------------------------------------------- storage
 
-FIRST_LOAD_BEFORE = "2000-01-01"
-
-
 def _scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
 
@@ -578,16 +575,29 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, "order_items", path)
 
 
-def _incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A load of the older orders, one of all with repeated and null keys, and one that must add nothing."""
-    path = _scratch(spark, "silver")
-    orders = Silver.from_bronze(sample_bronze(spark, sf_dir)).orders
-    storage.append_new(orders.where(F.col("order_purchase_timestamp") < FIRST_LOAD_BEFORE), path, ["order_id"])
+def _in_three_loads(orders: DataFrame, path: str) -> DataFrame:
+    """A load of the older half, one of all with repeated and null keys, and one that must add nothing."""
+    bought = "order_purchase_timestamp"
+    middle = orders.agg(F.percentile_approx(F.col(bought).cast("date"), 0.5)).scalar()
+    table = storage.KeyedTable(orders.sparkSession, path, orders.schema, ["order_id"], bought)
+    table.load(orders.where(F.col(bought) < middle), "first")
     nulls = orders.select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in orders.schema]).limit(2)
     more = orders.unionByName(orders.where("order_status = 'canceled'")).unionByName(nulls)
-    storage.append_new(more, path, ["order_id"])
-    return plain_money(storage.append_new(more, path, ["order_id"]))
+    table.load(more, "second")
+    table.load(more, "third")
+    return table.rows()
+
+
+def _incremental_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = Silver.from_bronze(sample_bronze(spark, sf_dir)).orders
+    return plain_money(_in_three_loads(cut_lineage(orders), _scratch(spark, "silver")))
+
+
+def _append_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = silver.denormalized_orders(sample_bronze(spark, sf_dir)).drop("_ingest_ts")
+    return flat_arrays(_in_three_loads(cut_lineage(table), _scratch(spark, "silver")))
 
 
 register("bronze_csv_roundtrip", _csv_roundtrip)
 register("silver_incremental_append", _incremental_append)
+register("silver_append_nested", _append_nested)

@@ -2,8 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
+
+from shopmart.session import cut_lineage
 
 LAYERS = ("bronze", "silver", "gold")
 
@@ -47,20 +54,115 @@ def materialize(
     return replace_table(df, name, bucket_by if buckets else None, buckets)
 
 
-def append_new(df: DataFrame, path: str, keys: list[str]) -> DataFrame:
+# ---------------------------------------------------------------- keyed append
+
+# Columns that a keyed table has besides its own.
+MONTH, DIGEST = "load_month", "load_digest"
+NO_MONTH = "none"
+
+
+class LoadRunning(RuntimeError):
+    """Another load writes to the table."""
+
+
+class KeyedTable:
+    """Rows with unique keys, appended load by load.
+
+    Rows lie in folders by the month of `moment`, a column that does not change
+    for a key, so a load meets the stored rows of its own months only. Beside the
+    rows there is a list of the loads that are done, and a lock while one runs.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, schema: StructType, keys: Sequence[str], moment: str | None = None):
+        self.spark, self.path, self.keys, self.moment = spark, path, list(keys), moment
+        self.schema = schema
+        self._files = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def _at(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+
+    def _stored(self) -> DataFrame:
+        kept = [*self.schema.fields, StructField(DIGEST, LongType()), StructField(MONTH, StringType())]
+        if not self._files.exists(self._at("rows")):
+            return self.spark.createDataFrame([], StructType(kept))
+        return self.spark.read.schema(StructType(kept)).parquet(f"{self.path}/rows")
+
+    def rows(self) -> DataFrame:
+        return self._stored().drop(MONTH, DIGEST)
+
+    def is_done(self, load: str) -> bool:
+        return self._files.exists(self._at(f"loads/{load}"))
+
+    @contextmanager
+    def _locked(self) -> Iterator[None]:
+        """Only one load at a time; a lock that a lost driver left must be removed by hand."""
+        lock = self._at("lock")
+        try:
+            self._files.create(lock, False).close()
+        except Exception as error:
+            if self._files.exists(lock):
+                raise LoadRunning(f"{self.path} is being loaded") from error
+            raise
+        try:
+            yield
+        finally:
+            self._files.delete(lock, False)
+
+    def winners(self, df: DataFrame, newest: Sequence[str] = ()) -> DataFrame:
+        """One row per key: the greatest by `newest`, then by a hash of the row, so always the same one."""
+        month = F.date_format(self.moment, "'m'yyyy-MM") if self.moment else F.lit(None).cast("string")
+        rows = df.select("*", F.xxhash64(*self.keys).alias(DIGEST), F.coalesce(month, F.lit(NO_MONTH)).alias(MONTH))
+        order = F.struct(*newest, F.xxhash64(*df.columns))
+        chosen = rows.groupBy(DIGEST, *self.keys).agg(F.max_by(F.struct(*rows.columns), order).alias("winner"))
+        return chosen.select("winner.*")
+
+    def unknown(self, batch: DataFrame, months: Sequence[str]) -> DataFrame:
+        """Rows of the batch whose keys are not stored; only the given months are read.
+
+        Most rows are told new by the digests alone. The keys themselves are
+        compared, null with null, for the others.
+        """
+        stored = self._stored().where(F.col(MONTH).isin(*months))
+        digests = stored.select(MONTH, DIGEST).distinct()
+        new = batch.join(digests, [MONTH, DIGEST], "left_anti")
+        maybe = batch.join(digests, [MONTH, DIGEST], "left_semi")
+        known = stored.select(F.col(DIGEST).alias("stored_digest"), *[F.col(k).alias(f"stored_{k}") for k in self.keys])
+        same = maybe[DIGEST] == known["stored_digest"]
+        for k in self.keys:
+            same &= maybe[k].eqNullSafe(known[f"stored_{k}"])
+        return new.unionByName(maybe.join(known, same, "left_anti"))
+
+    def load(self, df: DataFrame, load: str, newest: Sequence[str] = ()) -> None:
+        """Appends the rows with keys that are not stored yet; a load that is done is not looked at again.
+
+        A load that broke off may be repeated: what it has written is known by its keys.
+        """
+        if self.is_done(load):
+            return
+        with self._locked():
+            batch = cut_lineage(self.winners(df, newest))
+            months = [r[0] for r in batch.select(MONTH).distinct().collect()]  # as many as the calendar has
+            fresh = self.unknown(batch, months) if months else batch
+            # A large month is written by several tasks, small ones by one.
+            fresh.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH).parquet(f"{self.path}/rows")
+            self._files.create(self._at(f"loads/{load}"), True).close()
+
+
+def append_new(
+    df: DataFrame,
+    path: str,
+    keys: list[str],
+    moment: str | None = None,
+    load: str | None = None,
+    newest: Sequence[str] = (),
+) -> DataFrame:
     """Append one row per key that is not stored yet and return the stored table.
 
     A first run writes everything. Null is a key like any other. Of several
-    rows of a batch with one key one is stored. The stored side is read for
-    its key columns only.
+    rows of a batch with one key the greatest by `newest` is stored. Rows of one
+    key must have the same month of `moment`. A batch with the name of an
+    earlier `load` adds nothing.
     """
-    spark = df.sparkSession
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    exists = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop_path)
-    batch = df.dropDuplicates(keys)
-    if exists:
-        stored = spark.read.parquet(path).select(*[F.col(k).alias(f"stored_{k}") for k in keys]).distinct()
-        same = [batch[k].eqNullSafe(stored[f"stored_{k}"]) for k in keys]
-        batch = batch.join(stored, same, "left_anti")
-    batch.write.mode("append").parquet(path)
-    return spark.read.parquet(path)
+    table = KeyedTable(df.sparkSession, path, df.schema, keys, moment)
+    table.load(df, load or uuid4().hex, newest)
+    return table.rows()

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 from dataclasses import fields
 
-from helpers import rows
+import pytest
+
+from helpers import at, rows
 from shopmart.plans import medallion
 from shopmart.sources import storage
 from shopmart.sources.bronze import SCHEMAS, Bronze, load_csv, read_csv
@@ -43,6 +45,64 @@ def test_append_knows_null_keys_and_repeats(spark, tmp_path):
         assert sorted(str(r["k"]) for r in rows(stored)) == ["1", "None"]
 
 
+LOADED = "k string, v int, t timestamp_ntz, kids array<struct<a: int>>"
+
+
+def keyed(spark, path):
+    return storage.KeyedTable(spark, str(path), spark.createDataFrame([], LOADED).schema, ["k"], "t")
+
+
+def test_loads_of_nested_rows_by_month(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    jan, feb = at("2018-01-31T23:00:00"), at("2018-02-01T01:00:00")
+
+    def load(name, *data):
+        table.load(spark.createDataFrame(data, LOADED), name, ["v"])
+        return sorted((str(r["k"]), r["v"]) for r in rows(table.rows()))
+
+    assert load("empty") == []
+    assert load("a", ("x", 1, jan, [(1,)]), ("x", 2, jan, None), ("y", 5, None, [])) == [("x", 2), ("y", 5)]
+    assert load("b", ("x", 9, jan, None), ("z", 3, feb, [(7,)]), (None, 4, feb, None)) == [("None", 4), ("x", 2), ("y", 5), ("z", 3)]
+    assert load("c", ("y", 6, None, None), (None, 8, feb, None)) == [("None", 4), ("x", 2), ("y", 5), ("z", 3)]
+    # A load of a known name is not looked at.
+    assert load("a", ("new", 1, jan, None)) == [("None", 4), ("x", 2), ("y", 5), ("z", 3)]
+    assert sorted(p.name for p in (tmp_path / "t" / "rows").glob("load_month=*")) == [
+        "load_month=m2018-01", "load_month=m2018-02", "load_month=none",
+    ]
+
+
+def test_a_load_reads_its_own_months_only(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    months = [(f"k{m}", m, at(f"2018-{m:02}-05"), None) for m in range(1, 10)]
+    table.load(spark.createDataFrame(months, LOADED), "all")
+    batch = table.winners(spark.createDataFrame([months[3]], LOADED))
+    unknown = table.unknown(batch, ["m2018-04"])
+    plan = unknown._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("PartitionFilters: [(load_month") + plan.count("PartitionFilters: [isnotnull(load_month") >= 2
+    read = {f for f in unknown.inputFiles() if "/rows/" in f}
+    assert unknown.count() == 0 and len(read) == 9  # the listing knows all, the plan prunes:
+    stored = table._stored().where("load_month in ('m2018-04')")
+    assert stored.rdd.getNumPartitions() == 1
+
+
+def test_one_load_at_a_time(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    batch = spark.createDataFrame([("x", 1, None, None)], LOADED)
+    with table._locked(), pytest.raises(storage.LoadRunning):
+        table.load(batch, "second")
+    table.load(batch, "second")
+    assert table.rows().count() == 1 and not (tmp_path / "t" / "lock").exists()
+
+
+def test_a_broken_load_can_be_repeated(spark, tmp_path):
+    table = keyed(spark, tmp_path / "t")
+    batch = spark.createDataFrame([("x", 1, None, None), ("y", 2, None, None)], LOADED)
+    table.load(batch, "a")
+    (tmp_path / "t" / "loads" / "a").unlink()  # as if the driver had died before the last step
+    table.load(batch, "a")
+    assert table.rows().count() == 2
+
+
 def test_numbers_are_those_of_one_window_per_order(spark):
     from pyspark.sql import Window
     from pyspark.sql import functions as F

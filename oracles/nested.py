@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import oracles.quality  # noqa: F401 - its parts are used here
+import oracles.quality
 import oracles.star  # noqa: F401 - its parts are used here
 from oracles import features, gold, silver
 from oracles.compose import query
@@ -18,6 +18,7 @@ SOURCES = {
 }
 
 ORACLES: dict[str, str] = {f"{name}_nested": sql for name, sql in gold.ORACLES.items()}
+ORACLES["dq_gold_report_nested"] = oracles.quality.ORACLES["dq_gold_report"]
 ORACLES["gold_ltv_features_nested"] = features.ORACLES["gold_ltv_features"]
 for _name, _part in SOURCES.items():
     for _form in ("dirty", "dirty_nested"):

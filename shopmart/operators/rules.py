@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from uuid import uuid4
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 REPORT = ["table", "column", "rule", "failing_rows"]
@@ -46,37 +47,48 @@ def _failing(rule: Rule) -> Column:
     return ~F.expr(rule.kind)
 
 
+def _row_counts(rules: Sequence[Rule]) -> list[Column]:
+    return [F.count(F.when(_failing(r), 1)).alias(f"r{i}") for i, r in enumerate(rules) if r.kind != "unique"]
+
+
+def _entry(table: str, rule: Rule, failing: Column) -> Column:
+    return F.struct(
+        F.lit(table).alias("table"),
+        F.lit(rule.column).alias("column"),
+        F.lit(rule.kind).alias("rule"),
+        failing.alias("failing_rows"),
+    )
+
+
 def apply_rules(df: DataFrame, table: str, rules: Sequence[Rule]) -> DataFrame:
     """One row per rule. All row rules share one pass; each unique rule is one count per value."""
-    row_rules = [r for r in rules if r.kind != "unique"]
     parts = []
-    if row_rules:
-        counts = df.agg(*[F.count(F.when(_failing(r), 1)).alias(f"r{i}") for i, r in enumerate(row_rules)])
-        entries = [
-            F.struct(
-                F.lit(table).alias("table"),
-                F.lit(r.column).alias("column"),
-                F.lit(r.kind).alias("rule"),
-                F.col(f"r{i}").alias("failing_rows"),
-            )
-            for i, r in enumerate(row_rules)
-        ]
-        parts.append(counts.select(F.inline(F.array(*entries))))
+    counts = _row_counts(rules)
+    if counts:
+        entries = [_entry(table, r, F.col(f"r{i}")) for i, r in enumerate(rules) if r.kind != "unique"]
+        parts.append(df.agg(*counts).select(F.inline(F.array(*entries))))
     for rule in rules:
         if rule.kind == "unique":
             per_value = df.where(F.col(rule.column).isNotNull()).groupBy(rule.column).agg(F.count("*").alias("n"))
-            failing = per_value.agg(F.count(F.when(F.col("n") > 1, 1)).alias("failing_rows"))
-            parts.append(
-                failing.select(
-                    F.lit(table).alias("table"),
-                    F.lit(rule.column).alias("column"),
-                    F.lit("unique").alias("rule"),
-                    "failing_rows",
-                )
-            )
+            parts.append(per_value.agg(F.count(F.when(F.col("n") > 1, 1)).alias("n")).select(F.inline(F.array(_entry(table, rule, F.col("n"))))))
     return reduce(DataFrame.unionByName, parts)
 
 
+def store_checked(df: DataFrame, table: str, store: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, DataFrame]:
+    """Stores a table and reports its rules: row rules are counted while it is written, unique ones on what is stored.
+
+    Only the columns of unique rules are read again.
+    """
+    rules = RULES[table]
+    counts = _row_counts(rules)
+    seen = Observation(f"{table}-{uuid4().hex}")
+    stored = store(df.observe(seen, *counts) if counts else df)
+    rows = [(table, r.column, r.kind, seen.get[f"r{i}"]) for i, r in enumerate(rules) if r.kind != "unique"]
+    report = df.sparkSession.createDataFrame(rows, "table string, column string, rule string, failing_rows bigint")
+    unique = [r for r in rules if r.kind == "unique"]
+    return stored, report.unionByName(apply_rules(stored, table, unique)) if unique else report
+
+
 # The rules of the silver and gold tables.
 COHORT_RULES = [
     *not_null(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from uuid import uuid4
 
@@ -255,7 +256,20 @@ register("dq_rule_unique", _rule_query(("unique",), faults=True))
 register("dq_rule_not_null", _rule_query(("not_null",), faults=True, store=True))
 register("dq_rule_accepted_values", _rule_query(("accepted_values",)))
 register("dq_rule_expression", _rule_query(("expression",), store=True))
-register("dq_gold_report", _rule_query(None, store=True))
+
+
+def gold_report(s: Silver) -> DataFrame:
+    """All rules: those of gold are counted while its tables are written, those of silver in one pass."""
+    tables = _tables(s)
+    orders = tables.pop("denormalized_orders")
+    with ThreadPoolExecutor(3) as pool:
+        done = list(pool.map(lambda name: rules.store_checked(tables[name], name, cut_lineage)[1], tables))
+    return reduce(DataFrame.unionByName, [rules.report({"denormalized_orders": orders}), *done])
+
+
+on_silver("dq_gold_report", gold_report)
+GOLD_TABLES["dq_gold_report"] = gold_report
+register("dq_gold_report_nested", _on(sample_bronze, nested_silver, gold_report))
 
 # ---------------------------------------------------------------- features
 

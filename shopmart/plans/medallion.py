@@ -30,14 +30,19 @@ STAMPED = frozenset(
 
 
 def build(
-    spark: SparkSession, bronze: Bronze, as_views: frozenset[str] = frozenset(), buckets: int = 0
+    spark: SparkSession,
+    bronze: Bronze,
+    as_views: frozenset[str] = frozenset(),
+    buckets: int = 0,
+    reports: dict[str, DataFrame] | None = None,
 ) -> dict[str, DataFrame]:
     """Stores silver and every gold table and returns the stored tables.
 
     Gold reads the stored silver table. With `buckets` it is bucketed by
     order, which makes all per-order work in gold free of shuffles; a bucket
     is one task, so leave it out where one order fills a large part of the
-    data. Names in `as_views` become views.
+    data. Names in `as_views` become views. With `reports` the rules of every
+    stored gold table are counted while it is written, and put there by name.
     """
     create_layers(spark)
     table = materialize(
@@ -49,7 +54,10 @@ def build(
         result = define(silver)
         if name in STAMPED:
             result = result.withColumn("_ingest_ts", F.current_timestamp())
-        stored[name] = materialize(result, f"gold.{name}", as_view=name in as_views)
+        if reports is not None and name in rules.RULES and name not in as_views:
+            stored[name], reports[name] = rules.store_checked(result, name, lambda df, name=name: materialize(df, f"gold.{name}"))
+        else:
+            stored[name] = materialize(result, f"gold.{name}", as_view=name in as_views)
     metrics = gold.customer_metrics(stored["order_summary"])
     stored["customer_metrics"] = materialize(metrics, "gold.customer_metrics")
     return stored

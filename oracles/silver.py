@@ -167,6 +167,10 @@ select * from {order_sellers} where order_id in (select order_id from {b_orders}
     "bronze_csv_roundtrip": query("""
 select * replace (cast(price as double) as price, cast(freight_value as double) as freight_value)
 from {order_items}"""),
+    "bronze_csv_quarantine": query("""
+select case when order_item_id % 7 in (3, 5, 6) then 'malformed' when order_item_id % 7 = 4 then 'missing' end reason,
+  case when order_item_id % 7 <> 4 then order_id end order_id, order_item_id, product_id,
+  case when order_item_id % 7 not in (3, 4, 5, 6) then cast(price as double) end price from {order_items}"""),
     "silver_append_nested": query(DENORMALIZED + """
 union all by name select null order_id where exists (select 1 from {b_orders})"""),
     "silver_incremental_append": query("""

@@ -16,7 +16,7 @@ from shopmart.functions.columns import title_case
 from shopmart.operators.silver import Silver
 from shopmart.session import cut_lineage, shared_dir
 from shopmart.sources import storage
-from shopmart.sources.bronze import Bronze, read_csv
+from shopmart.sources.bronze import SCHEMAS, Bronze, read_checked_csv, read_csv
 from shopmart.sources.sample import dirty_bronze, sample_bronze, thirds_bronze
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -589,6 +589,38 @@ def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_csv(spark, "order_items", path)
 
 
+def spoiled_lines(items: DataFrame) -> DataFrame:
+    """Order items as CSV lines, some with a price that is no number, without their last values, or with one too many."""
+    line, kind = F.to_csv(F.struct(*items.columns)), F.col("order_item_id") % 7
+    return items.select(
+        F.when(kind == 3, F.regexp_replace(line, r",[^,]*,([^,]*)$", ",n/a,$1"))
+        .when(kind == 5, F.regexp_replace(line, r",[^,]*,[^,]*$", ""))
+        .when(kind == 6, F.concat(line, F.lit(",9")))
+        .when(kind == 4, F.regexp_replace(line, r"^[^,]*,", ","))
+        .otherwise(line)
+        .alias("value")
+    )
+
+
+def _csv_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Good rows, and rejected lines with the item they were and why."""
+    path = _scratch(spark, "spoiled")
+    spoiled_lines(sample_bronze(spark, sf_dir).order_items).write.text(path)
+    checked = read_checked_csv(spark, SCHEMAS["order_items"], path, header=False, required=["order_id"])
+    fields_of = F.split("line", ",")
+    none = F.lit(None).cast("string")
+    good = checked.good.select(none.alias("reason"), "order_id", "order_item_id", "product_id", "price")
+    return good.unionByName(
+        checked.rejected.select(
+            "reason",
+            F.nullif(F.get(fields_of, F.lit(0)), F.lit("")).alias("order_id"),
+            F.get(fields_of, F.lit(1)).cast("bigint").alias("order_item_id"),
+            F.get(fields_of, F.lit(2)).alias("product_id"),
+            F.lit(None).cast("double").alias("price"),
+        )
+    )
+
+
 def _in_three_loads(orders: DataFrame, path: str) -> DataFrame:
     """A load of the older half, one of all with repeated and null keys, and one that must add nothing."""
     bought = "order_purchase_timestamp"
@@ -615,3 +647,4 @@ def _append_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 register("bronze_csv_roundtrip", _csv_roundtrip)
 register("silver_incremental_append", _incremental_append)
 register("silver_append_nested", _append_nested)
+register("bronze_csv_quarantine", _csv_quarantine)

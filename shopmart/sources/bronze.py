@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
+
+from shopmart.session import cut_lineage
+from shopmart.sources.schema_files import read_schema
 
 # Table layouts. Money stays double as in the raw files and is
 # turned into exact decimals in silver. The two review dates are text.
@@ -78,7 +84,63 @@ def read_csv(spark: SparkSession, table: str, path: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[table]).option("header", True).csv(path)
 
 
-def load_csv(spark: SparkSession, folder: str, tables: list[str] | None = None) -> Bronze:
-    """All raw tables of `folder`, one `<table>.csv` file or folder each."""
+def load_csv(spark: SparkSession, folder: str, tables: list[str] | None = None, schemas: str | None = None) -> Bronze:
+    """All raw tables of `folder`, one `<table>.csv` file or folder each.
+
+    With `schemas` the schemas come from the files `<table>_schema.json` there.
+    """
     names = tables or [f.name for f in fields(Bronze)]
-    return Bronze.from_tables({n: read_csv(spark, n, f"{folder}/{n}.csv") for n in names})
+    if schemas is None:
+        return Bronze.from_tables({n: read_csv(spark, n, f"{folder}/{n}.csv") for n in names})
+    declared = {n: read_schema(spark, f"{schemas}/{n}_schema.json") for n in names}
+    read = {n: spark.read.schema(kind).option("header", True).csv(f"{folder}/{n}.csv") for n, kind in declared.items()}
+    return Bronze.from_tables(read)
+
+
+@dataclass(frozen=True)
+class CheckedCsv:
+    """A CSV read whose bad lines are set aside: `good` rows, and `rejected` (line, reason, file)."""
+
+    good: DataFrame
+    rejected: DataFrame
+
+    def counts(self) -> DataFrame:
+        """Rows by verdict and reason, one pass over each side."""
+        good = self.good.agg(F.count("*").alias("lines")).select(F.lit("good").alias("verdict"), F.lit(None).cast("string").alias("reason"), "lines")
+        rejected = self.rejected.groupBy("reason").agg(F.count("*").alias("lines"))
+        return good.unionByName(rejected.select(F.lit("rejected").alias("verdict"), "reason", "lines"))
+
+
+LINE = "_line"
+MALFORMED, MISSING = "malformed", "missing"
+
+
+def read_checked_csv(
+    spark: SparkSession, schema: str | StructType, path: str, header: bool = True, required: Sequence[str] = ()
+) -> CheckedCsv:
+    """A CSV read that loses no line silently.
+
+    A line with a value that does not fit its type, or with too few or too many
+    values, is rejected as malformed; one without a value in a `required` or
+    non-nullable column as missing. The whole lines are read and stored once:
+    a read of some columns would parse, and reject, by these alone.
+    """
+    declared = schema if isinstance(schema, StructType) else StructType.fromDDL(schema)
+    needed = dict.fromkeys([*required, *[f.name for f in declared.fields if not f.nullable]])
+    open_ = StructType([StructField(f.name, f.dataType, True) for f in declared.fields])
+    read = (
+        spark.read.schema(StructType([*open_.fields, StructField(LINE, StringType())]))
+        .option("header", header)
+        .option("mode", "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", LINE)
+        .csv(path)
+    )
+    missing = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed], F.lit(False))
+    reason = F.when(F.col(LINE).isNotNull(), MALFORMED).when(missing, MISSING)
+    stored = cut_lineage(read.select("*", F.col("_metadata.file_path").alias("_file"), reason.alias("_reason")))
+    line = F.coalesce(LINE, F.to_csv(F.struct(*open_.names)))
+    rejected = stored.where("_reason IS NOT NULL")
+    return CheckedCsv(
+        good=stored.where("_reason IS NULL").select(*open_.names),
+        rejected=rejected.select(line.alias("line"), F.col("_reason").alias("reason"), F.col("_file").alias("file")),
+    )

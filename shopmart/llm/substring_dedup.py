@@ -256,7 +256,8 @@ def maximal_repeats(
     owner, offset, at, left = owner[rows], offset[rows], at[rows], left[rows]
     room = sizes[owner] - offset
     words = _words(data, at, begin[owner] + sizes[owner], int(room.max()))
-    sort = np.lexsort((*words.T[::-1], groups[owner]))
+    # Behind its end a row reads as zeros; of rows alike in that way the shorter one comes first.
+    sort = np.lexsort((room, *words.T[::-1], groups[owner]))
     owner, offset, left, room, words = owner[sort], offset[sort], left[sort], room[sort], words[sort]
     lcp = _common(words, room)
     lcp[groups[owner[1:]] != groups[owner[:-1]]] = 0
@@ -355,8 +356,8 @@ def _bucket_values(docs: DataFrame, buckets: int) -> list[int]:
     return [found[b] for b in range(buckets)]
 
 
-def store_texts(docs: DataFrame) -> DataFrame:
-    """The texts as bytes in a bucketed table; a task fills one bucket, so nothing is shuffled."""
+def store_texts(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """The texts as bytes in a bucketed table, its name and folder; a task fills one bucket, so nothing is shuffled."""
     plain = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
     buckets = min(max(1, plain.rdd.getNumPartitions()), MAX_BUCKETS)
     values = _bucket_values(docs, buckets)
@@ -381,15 +382,16 @@ def store_texts(docs: DataFrame) -> DataFrame:
                 row += n
 
     name = f"texts_{uuid4().hex}"
+    path = f"{shared_dir(docs.sparkSession)}/{name}"
     (
         map_rows(plain, work, TEXTS)
         .write.format("parquet")
         .option("compression", "zstd")
-        .option("path", f"{shared_dir(docs.sparkSession)}/{name}")
+        .option("path", path)
         .bucketBy(buckets, "bucket")
         .saveAsTable(name)
     )
-    return docs.sparkSession.table(name)
+    return docs.sparkSession.table(name), name, path
 
 
 def _by_bucket(texts: DataFrame, spans: DataFrame, work, schema: str) -> DataFrame:
@@ -493,5 +495,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, grou
     are separate documents, the later stored one after the other, so of
     repeated rows all but one are repeats. An empty table gives an empty one.
     """
-    texts = store_texts(docs)
-    return without_spans(texts, repeated_spans(texts, length, gram, group_contexts))
+    spark = docs.sparkSession
+    texts, name, path = store_texts(docs)
+    found = cut_lineage(without_spans(texts, repeated_spans(texts, length, gram, group_contexts)))
+    spark.sql(f"DROP TABLE {name}")
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return found

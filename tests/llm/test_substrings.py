@@ -60,3 +60,38 @@ def test_repeated_rows_leave_one(table):
     text = "some text of its own, " * 3 + "and then more of it, which does not repeat itself so soon as that"
     got = substring_dedup.remove_repeats(table([(1, text), (1, text), (2, text)])).collect()
     assert sorted(r["n_removed"] for r in got) == [0, len(text), len(text)]
+
+
+def test_bytes_of_zero_sort_behind_nothing():
+    r = random.Random(14)
+    for _ in range(3000):
+        batch = []
+        for i in range(r.randint(2, 4)):
+            batch.append((0, i, i, 0, bytes(r.choice([0, 0, 0, 97]) for _ in range(r.randint(8, 14)))))
+        gone = {
+            (row[2], at)
+            for k, row in enumerate(batch)
+            for s in range(len(row[4]) - 7)
+            if any(
+                row[4][s : s + 8] == other[4][t : t + 8]
+                for m, other in enumerate(batch)
+                for t in range(len(other[4]) - 7)
+                if (m, t) < (k, s)
+            )
+            for at in range(s, s + 8)
+        }
+        place, start, size = substring_dedup._later_occurrences(batch, 8)
+        assert {(p, at) for p, s, n in zip(place, start, size) for at in range(s, s + n)} == gone
+
+
+def test_texts_with_zero_bytes(table):
+    r = random.Random(15)
+    rows = [(i, "".join(r.choice("\0\0\0a") for _ in range(r.randint(0, 40)))) for i in range(40)]
+    got = substring_dedup.remove_repeats(table(rows), 8, 4).collect()
+    assert sorted(map(tuple, got), key=str) == plain(rows, 8)
+
+
+def test_no_tables_stay_behind(spark, sample):
+    before = {t.name for t in spark.catalog.listTables()}
+    assert substring_dedup.remove_repeats(sample).count() == sample.count()
+    assert {t.name for t in spark.catalog.listTables()} == before

@@ -8,7 +8,7 @@ start from the sample and pay for deriving it; they are named in `from_sample`.
 BENCH_SF_DIR  folder of the sample tables (default /root/testdata/sf0.1)
 BENCH_CPUS    local cores (default 8)
 BENCH_QUERIES comma-separated names instead of the headline list
-BENCH_LAYOUTS if set, both storage layouts are compared too, on stderr
+BENCH_LAYOUTS if set, both storage layouts are compared too, seconds and bytes read, on stderr
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 from dataclasses import fields
 
@@ -61,6 +62,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", "8")
     chosen = os.environ.get("BENCH_QUERIES")
     names = chosen.split(",") if chosen else HEADLINE
+    log_folder = tempfile.mkdtemp(prefix="bench-events-") if os.environ.get("BENCH_LAYOUTS") else None
+    log = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": f"file://{log_folder}", "spark.eventLog.rolling.enabled": "false", "spark.eventLog.compress": "false"}
     spark = build_session(
         "bench",
         f"local[{cpus}]",
@@ -68,6 +71,7 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             "spark.driver.memory": "16g",
             "spark.ui.showConsoleProgress": "false",
+            **(log if log_folder else {}),
         },
     )
     spark.sparkContext.setLogLevel("ERROR")
@@ -105,12 +109,15 @@ def main() -> None:
             }
         )
     )
-    if os.environ.get("BENCH_LAYOUTS"):
-        from shopmart.plans.layouts import silver_vs_star
-        from shopmart.sources.sample import sample_bronze
+    if log_folder:
+        from shopmart.plans.layouts import bytes_by_layout, silver_vs_star
 
-        for row in silver_vs_star(spark, sample_bronze(spark, folder)).collect():
+        application = spark.sparkContext.applicationId
+        for row in silver_vs_star(spark, bronze).collect():
             print(row.asDict(), file=sys.stderr)
+        spark.stop()  # the log is complete from here on
+        for row in bytes_by_layout(log_folder, application):
+            print(row, file=sys.stderr)
     spark.stop()
 
 

@@ -105,9 +105,8 @@ ORACLES: dict[str, str] = {
 select 'customer' source, customer_city city, customer_state state from {customers}
 union all select 'seller', seller_city, seller_state from {sellers}"""),
     "fn_title_case": query(f"""
-select o_orderkey, {words("o_orderpriority", "-")} priority,
-  {words("product_category_name", "_")} category
-from orders left join {{products}} on product_id = concat('P', o_orderkey)"""),
+select 'priority' kind, cast(o_orderkey as varchar) key, {words("o_orderpriority", "-")} title from orders
+union all select 'category', product_id, {words("product_category_name", "_")} from {{products}}"""),
     "profile_describe": query("\nunion all\n".join(describe(c) for c in NUMBERS)),
     "profile_nulls": query("\nunion all\n".join(nulls(c) for c in CHURN_COLUMNS)),
     "profile_value_counts": query("""
@@ -145,6 +144,14 @@ from {scored} cross join {class_counts}"""),
     "ml_gbt_checks": query(model_checks("boosted_trees", "test_sellers", "churn_6m")),
     "ml_gbt_weighted_checks": query(model_checks("boosted_trees", "test_persons", "churn_flag")),
     "ml_logistic_checks": query(model_checks("logistic", "test_persons", "churn_flag")),
+    "ml_scoring_expressions": query(
+        "\nunion all\n".join(
+            f"select '{k}' model, count(*) \"rows\", true same_class, true same_probability from {{labelled_sellers}}"
+            for k in CLASSIFIERS
+        )
+    ),
+    "ml_planted_signal": "select unnest([" + ", ".join(f"'{k}'" for k in (*CLASSIFIERS, "logistic")) + "]) model, true found",
+    "ml_recalibrated_metrics_checks": "select true mean_valid, true moved_rightly, true same_order",
     "ml_predictions_checks": query("select seller_id, churn_6m, true scores_valid from {test_sellers}"),
     "ml_feature_importance_checks": "select unnest([" + ", ".join(f"'{c}'" for c in LTV_FEATURES)
     + "]) feature, true shares_valid, true sums_to_one",

@@ -11,7 +11,7 @@ from pyspark.ml import Model
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopmart.operators import evaluation, features, gold, models, profiling, quality, rules, silver, star
+from shopmart.operators import evaluation, features, gold, models, profiling, quality, rules, scoring, silver, star
 from shopmart.functions.columns import title_case
 from shopmart.operators.silver import Silver
 from shopmart.session import cut_lineage, shared_dir
@@ -40,6 +40,10 @@ def on_silver(name: str, build: Callable[[Silver], DataFrame]) -> None:
     register(name, lambda spark, sf_dir: build(Silver.from_bronze(sample_bronze(spark, sf_dir))))
 
 
+def _scratch(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
+
+
 # ---------------------------------------------------------------- silver
 
 
@@ -304,14 +308,14 @@ def _locations(bronze: Bronze) -> DataFrame:
 
 
 def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", "o_orderpriority")
-    products = sample_bronze(spark, sf_dir).products.select("product_id", "product_category_name")
-    same = F.col("product_id") == F.concat(F.lit("P"), F.col("o_orderkey").cast("string"))
-    return orders.join(products, same, "left").select(
-        "o_orderkey",
-        title_case(F.col("o_orderpriority")).alias("priority"),
-        title_case(F.col("product_category_name")).alias("category"),
-    )
+    """Priorities of all orders and categories of all products, as titles."""
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    products = sample_bronze(spark, sf_dir).products
+    texts = {
+        "priority": orders.select(F.col("o_orderkey").cast("string").alias("key"), F.col("o_orderpriority").alias("text")),
+        "category": products.select(F.col("product_id").alias("key"), F.col("product_category_name").alias("text")),
+    }
+    return profiling.union_all(texts, "kind").select("kind", "key", title_case(F.col("text")).alias("title"))
 
 
 on_bronze("set_union_all", _locations)
@@ -557,12 +561,90 @@ def _recalibrated_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.recalibrated_figures(scored, PERSON_LABEL, F.coalesce(ratio, F.lit(1.0)))
 
 
+def scored_both_ways(spark: SparkSession, table: DataFrame, kind: str) -> DataFrame:
+    """Key, and class and probability of a model and of the expression made of its stored form."""
+    model, rows = models.train(table, features.LTV_FEATURES, KEY, LABEL, kind)
+    path = _scratch(spark, f"model-{kind}")
+    models.save_model(model, path)
+    given = models.score(model, rows, KEY, LABEL).select(KEY, F.col("prediction").alias("given_class"), F.col("probability").alias("given"))
+    own = scoring.score_stored(table, path, features.LTV_FEATURES).select(
+        F.col(KEY).alias("own_key"), "prediction", "probability"
+    )
+    return own.join(given, F.col("own_key").eqNullSafe(F.col(KEY)), "full")
+
+
+def _scoring_expressions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each kind of model scores, and whether its expression gives all of them the same class and probability."""
+    table = training_table(spark, sf_dir)
+    figures = []
+    for kind in CLASSIFIER_KINDS:
+        both = scored_both_ways(spark, table, kind)
+        close = F.abs(F.col("probability") - F.col("given")) < models.ROUNDING
+        # On the fence the order of adding decides about the class.
+        fence = F.abs(F.col("given") - 0.5) < models.ROUNDING
+        same = (F.col("prediction") == F.col("given_class")) | fence
+        figures.append(
+            both.agg(
+                F.lit(kind).alias("model"),
+                F.count("*").alias("rows"),
+                F.bool_and(F.coalesce(same, F.lit(False))).alias("same_class"),
+                F.bool_and(F.coalesce(close, F.lit(False))).alias("same_probability"),
+            )
+        )
+    return reduce(DataFrame.unionByName, figures)
+
+
+def _recalibrated_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the correction keeps the order of the probabilities and moves them to the side that the ratio says."""
+    model, rows = _person_fitted(person_table(spark, sf_dir), "boosted_trees", weighted=True)
+    scored = cut_lineage(models.score(model, rows.where("split = 'test'"), PERSON, PERSON_LABEL))
+    ratio = evaluation.class_ratio(rows.where("split = 'train'"), PERSON_LABEL).select("imbalance_ratio").scalar()
+    weight = F.coalesce(ratio, F.lit(1.0))
+    fair = models.recalibrated_figures(scored, PERSON_LABEL, weight)
+    plain = models.recalibrated_figures(scored, PERSON_LABEL, F.lit(1.0))
+
+    def same(column: str) -> Column:
+        given = plain.select(column).scalar()
+        return F.coalesce(F.abs(F.col(column) - given) < models.ROUNDING, given.isNull() & F.col(column).isNull())
+
+    moved = F.col("mean_calibrated") - plain.select("mean_calibrated").scalar()
+    return fair.select(
+        F.col("mean_calibrated").between(0, 1).alias("mean_valid"),
+        F.when(weight >= 1, moved >= -models.ROUNDING).otherwise(moved <= models.ROUNDING).alias("moved_rightly"),
+        (same("roc_auc") & same("average_precision")).alias("same_order"),
+    )
+
+
+SIGNAL_AREA = 0.7
+
+
+def with_planted_signal(table: DataFrame) -> DataFrame:
+    """A label that follows from the inputs, wrong for a tenth of the sellers."""
+    middle = table.agg(F.percentile_approx("avg_order_value", 0.5)).scalar()
+    wrong = F.crc32(KEY) % 10 == 0
+    return table.withColumn(LABEL, ((F.col("avg_order_value") > middle) != wrong).cast("int"))
+
+
+def _planted_signal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether each classifier finds a planted signal again in the sellers it was not trained on."""
+    table = cut_lineage(with_planted_signal(training_table(spark, sf_dir)))
+    found = []
+    for kind in (*CLASSIFIER_KINDS, "logistic"):
+        scored = models.train_and_score(table, features.LTV_FEATURES, KEY, LABEL, kind)[1]
+        area = models.evaluate(scored, LABEL, kind).select("model", (F.col("roc_auc") > SIGNAL_AREA).alias("found"))
+        found.append(area)
+    return reduce(DataFrame.unionByName, found)
+
+
 for _name, _kind in (("decision_tree", "decision_tree"), ("random_forest", "random_forest"), ("gbt", "boosted_trees")):
     register(f"ml_{_name}", _figures(_seller_fit(_kind), KEY, LABEL, _kind))
     register(f"ml_{_name}_checks", _checks(_seller_fit(_kind), KEY, LABEL, _kind))
 for _name, _kind, _weighted in (("gbt_weighted", "boosted_trees", True), ("logistic", "logistic", False)):
     register(f"ml_{_name}", _figures(_person_fit(_kind, _weighted), PERSON, PERSON_LABEL, _kind))
     register(f"ml_{_name}_checks", _checks(_person_fit(_kind, _weighted), PERSON, PERSON_LABEL, _kind))
+register("ml_scoring_expressions", _scoring_expressions)
+register("ml_planted_signal", _planted_signal)
+register("ml_recalibrated_metrics_checks", _recalibrated_checks)
 register("ml_recalibrated_metrics", _recalibrated_metrics)
 register("ml_predictions", _predictions)
 register("ml_predictions_checks", _predictions_checks)
@@ -579,10 +661,6 @@ register("ml_ltv_regression", _ltv_regression)
 
 # ---------------------------------------------------------------- storage
 
-def _scratch(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid4().hex}"
-
-
 def _csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _scratch(spark, "order_items")
     storage.write_csv(sample_bronze(spark, sf_dir).order_items, path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import os
 import time
 from dataclasses import fields
 from uuid import uuid4
@@ -34,6 +36,37 @@ def store(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
+def bytes_read(log_folder: str, application: str) -> dict[str, int]:
+    """Bytes that the tasks of each job description read from storage, from Spark's event log in a local folder."""
+    stages: dict[int, str] = {}
+    read: dict[str, int] = {}
+    with open(os.path.join(log_folder, application)) as lines:
+        for line in lines:
+            event = json.loads(line)
+            if event["Event"] == "SparkListenerJobStart":
+                description = event.get("Properties", {}).get("spark.job.description")
+                stages.update({s: description for s in event["Stage IDs"] if description})
+            elif event["Event"] == "SparkListenerTaskEnd" and event["Stage ID"] in stages:
+                name = stages[event["Stage ID"]]
+                figures = (event.get("Task Metrics") or {}).get("Input Metrics") or {}
+                read[name] = read.get(name, 0) + figures.get("Bytes Read", 0)
+    return read
+
+
+def _description(table: str, layout: str) -> str:
+    return f"{layout}: {table}"
+
+
+def bytes_by_layout(log_folder: str, application: str) -> list[dict]:
+    """Bytes read per gold table by both layouts, and the share that the nested table saves."""
+    read = bytes_read(log_folder, application)
+    out = []
+    for table in TABLES:
+        silver, star_ = (read.get(_description(table, layout), 0) for layout in ("silver", "star"))
+        out.append({"gold_table": table, "silver_bytes": silver, "star_bytes": star_, "saved": round(1 - silver / star_, 3) if star_ else None})
+    return out
+
+
 def silver_vs_star(spark: SparkSession, bronze: Bronze) -> DataFrame:
     """Seconds per gold table and stored bytes of both layouts.
 
@@ -53,8 +86,10 @@ def silver_vs_star(spark: SparkSession, bronze: Bronze) -> DataFrame:
     rows = []
     for table, (from_silver, from_star) in TABLES.items():
         for layout, job in (("silver", lambda: from_silver(nested)), ("star", lambda: from_star(stored_raw))):
+            spark.sparkContext.setJobDescription(_description(table, layout))
             start = time.perf_counter()
             job().write.format("noop").mode("overwrite").save()
             rows.append((table, layout, time.perf_counter() - start, sizes[layout]))
+    spark.sparkContext.setJobDescription(None)
     spark.sql(f"DROP TABLE {name}")
     return spark.createDataFrame(rows, "gold_table string, layout string, seconds double, stored_bytes bigint")

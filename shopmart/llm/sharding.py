@@ -44,6 +44,9 @@ def _groups(sized: DataFrame) -> DataFrame:
     """One row per text with where its bytes begin and end inside its block of the hash range."""
     block = F.shiftright("place", 64 - BLOCKS_LOG2) + (1 << (BLOCKS_LOG2 - 1))
     groups = sized.groupBy("place", "digest").agg(F.sum("size").alias("bytes")).withColumn("block", block.cast("int"))
+    # Neighbouring blocks lie together, so that a look-up reads the files of the blocks it asks for and no others.
+    parts = int(sized.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    groups = groups.repartitionByRange(parts, "block")
     inside = Window.partitionBy("block").orderBy("place", "digest").rowsBetween(Window.unboundedPreceding, 0)
     return groups.withColumn("end", F.sum("bytes").over(inside))
 
@@ -70,7 +73,8 @@ class Line:
             wanted.append((i, self.blocks[at], place - self.begin[at], self.begin[at]))
         # `wanted` has PROBES rows at most.
         asked = self.groups.sparkSession.createDataFrame(wanted, "i int, block int, inside long, begin long")
-        hit = self.groups.join(F.broadcast(asked), "block").where("end <= inside")
+        blocks = sorted({block for _, block, _, _ in wanted})
+        hit = self.groups.where(F.col("block").isin(blocks)).join(F.broadcast(asked), "block").where("end <= inside")
         found = {r["i"]: r["e"] for r in hit.groupBy("i").agg(F.max(F.col("begin") + F.col("end")).alias("e")).collect()}
         return [found.get(i, begin) for i, _, _, begin in wanted]
 

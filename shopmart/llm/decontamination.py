@@ -13,12 +13,14 @@ deviation of 3, so a radius of 23 misses about two in a million of them.
 
 Before windows are hashed, a bound drops those that cannot pass: the
 similarity is at most the share of the window's shingles that occur in any
-item at all. Items are taken in blocks of `ITEMS_PER_PASS`, so what a task
-holds of the benchmark is bounded.
+item at all. Items are taken in blocks of `ITEMS_PER_PASS` and about `PASS_BYTES`,
+one after the other, so what the driver and a task hold of the benchmark is
+bounded.
 """
 
 from __future__ import annotations
 
+import hashlib
 from functools import reduce
 
 import numpy as np
@@ -26,13 +28,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopmart.llm.common import Batches, map_rows, slices, texts_of
+from shopmart.llm.common import Batches, carried, map_rows, slices, texts_of
+from shopmart.session import cut_lineage
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
 RADIUS = 23
 BLOCKS = 8
 ITEMS_PER_PASS = 10_000
+PASS_BYTES = 16 << 20  # item text of a pass, about
 
 MATCHES = "doc_id long, item_id long, word_start int, n_words int, distance int, similarity double"
 
@@ -236,13 +240,21 @@ def weighted_similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
     return common / (int(a[1].sum()) + int(b[1].sum()) - common)
 
 
-def _passes(benchmark: DataFrame, per_pass: int) -> list[Benchmark]:
-    """The items in bounded blocks; a null id or text is no item, of equal ids all texts count."""
-    items = benchmark.selectExpr("cast(item_id as long) item_id", "text").where("item_id is not null and text is not null").distinct()
-    many = items.count()
-    blocks = -(-many // per_pass)
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks or 1))
-    return [Benchmark([tuple(r) for r in items.where(block == b).collect()]) for b in range(blocks)]
+class _Items:
+    """The items in blocks of bounded size, one of which the driver and the tasks hold at a time.
+
+    A null id or text is no item, of equal ids all texts count.
+    """
+
+    def __init__(self, benchmark: DataFrame, per_pass: int) -> None:
+        items = benchmark.selectExpr("cast(item_id as long) item_id", "cast(text as string) text")
+        self.items = cut_lineage(items.where("item_id is not null and text is not null").distinct())
+        many, size = self.items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+        self.blocks = max(-(-many // per_pass), -(-size // PASS_BYTES))
+
+    def block(self, number: int) -> Benchmark:
+        own = F.pmod(F.xxhash64("item_id", "text"), F.lit(self.blocks)) == number
+        return Benchmark([tuple(r) for r in self.items.where(own).collect()])
 
 
 def find_passages(
@@ -274,8 +286,12 @@ def find_passages(
 
         return map_rows(texts_of(docs).withColumn("doc_id", F.col("doc_id").cast("long")), work, MATCHES)
 
-    parts = [search(items) for items in _passes(benchmark, per_pass)] or [docs.sparkSession.createDataFrame([], MATCHES)]
-    return reduce(DataFrame.union, parts)
+    items = _Items(benchmark, per_pass)
+    if items.blocks == 1:
+        return search(items.block(0))
+    # What a block finds is stored before the next block is fetched.
+    parts = [cut_lineage(search(items.block(b))) for b in range(items.blocks)]
+    return reduce(DataFrame.union, parts or [docs.sparkSession.createDataFrame([], MATCHES)])
 
 
 def drop_contaminated(
@@ -286,12 +302,33 @@ def drop_contaminated(
     per_pass: int = ITEMS_PER_PASS,
 ) -> DataFrame:
     """The documents in which no item is found; columns and all other rows stay, null texts too."""
-    for items in _passes(benchmark, per_pass):
+    items = _Items(benchmark, per_pass)
+    if not items.blocks:
+        return docs
+    if items.blocks == 1:
+        held = items.block(0)
 
-        def work(rows: Batches, items: Benchmark = items) -> Batches:
+        def keep(rows: Batches) -> Batches:
             for part in rows:
-                clean = [not items.matches(t or "", radius, similarity) for t in part.column("text").to_pylist()]
+                clean = [not held.matches(t or "", radius, similarity) for t in part.column("text").to_pylist()]
                 yield part.filter(pa.array(clean, pa.bool_()))
 
-        docs = map_rows(docs, work, docs.schema)
-    return docs
+        return map_rows(docs, keep, docs.schema)
+
+    def found(held: Benchmark) -> DataFrame:
+        """Digests of the texts that hold an item of a block; what is found depends on the text alone."""
+
+        def work(rows: Batches) -> Batches:
+            for full in rows:
+                for part in slices(full):
+                    hit = [t for t in part.column("text").to_pylist() if t and held.matches(t, radius, similarity)]
+                    if hit:
+                        digests = [hashlib.md5(t.encode(), usedforsecurity=False).hexdigest() for t in hit]
+                        yield pa.RecordBatch.from_arrays([pa.array(digests)], names=["digest"])
+
+        return map_rows(docs.select("text"), work, "digest string")
+
+    gone = [cut_lineage(found(items.block(b)).distinct()) for b in range(items.blocks)]
+    rows = carried(docs).withColumn("own", F.md5(F.col("row.text").cast("binary")))
+    gone_all = reduce(DataFrame.union, gone)
+    return rows.join(gone_all, rows["own"] == gone_all["digest"], "left_anti").select("row.*")

@@ -11,7 +11,7 @@ import pytest
 from odd_rows import ODD
 from pyspark.sql import functions as F
 
-from shopmart.llm import packing, pii, quality_rules, secrets, simhash_dedup, token_counts
+from shopmart.llm import decontamination, packing, pii, quality_rules, secrets, simhash_dedup, token_counts
 from shopmart.llm.tokens import END_TEXT, Encoder
 
 # ---------------------------------------------------------------- personal data
@@ -216,3 +216,26 @@ def test_columns_of_any_name_stay_as_they_are(spark, table):
         assert all(r[c] == -7 for r in docs.collect() for c in CLASHING)
     assert packing.pack(docs).count() > 0
     assert np.all(simhash_dedup.group(docs).toPandas()["doc_id"] >= 20)
+
+
+# ---------------------------------------------------------------- several blocks of items
+
+
+def test_documents_are_dropped_over_several_passes(spark, table):
+    r = random.Random(16)
+    words = lambda n: " ".join(r.choice("abcdefghijklmnop") + str(r.randint(0, 99)) for _ in range(n))
+    items = [(i, words(30)) for i in range(5)]
+    benchmark = spark.createDataFrame([*items, (None, "x"), (9, None)], "item_id long, text string")
+    clean = [(100 + i, words(60)) for i in range(5)] + [(None, None), (7, ""), (7, "")]
+    dirty = [(i, f"{words(9)} {text} {words(9)}") for i, text in items]
+    docs = table([*clean, *dirty]).withColumn("own", F.lit(1)).withColumn("digest", F.lit("x"))
+    for per_pass in (1, 2, 100):
+        kept = decontamination.drop_contaminated(docs, benchmark, per_pass=per_pass)
+        assert kept.columns == docs.columns
+        # No task holds more than one block.
+        assert kept._jdf.queryExecution().executedPlan().toString().count("MapInArrow") <= 1
+        assert sorted(((x["doc_id"], x["text"]) for x in kept.collect()), key=str) == sorted(clean, key=str)
+        found = decontamination.find_passages(docs, benchmark, per_pass=per_pass)
+        assert sorted((x["doc_id"], x["item_id"]) for x in found.collect()) == [(i, i) for i in range(5)]
+    assert decontamination.drop_contaminated(docs, benchmark.limit(0)).count() == docs.count()
+    assert decontamination.find_passages(docs, benchmark.limit(0)).count() == 0

@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopmart.functions.columns import EXACT, MONEY, early_days, label, on_time, parse_review_time, title_case
-from shopmart.functions.sizes import small_side
 from shopmart.operators.tallies import Tally, unfolded, with_tally
 from shopmart.session import cut_lineage
 from shopmart.sources.bronze import Bronze
@@ -51,30 +50,32 @@ ARRAYS = {"items": "order_items_array", "payments": "payments_array", "sellers":
 # ---------------------------------------------------------------- children
 
 
-def product_labels(products: DataFrame, translation: DataFrame) -> DataFrame:
-    """Product sizes and the readable category: translated where possible, else the raw one.
+PRODUCT_SIZES = ("product_weight_g", "product_length_cm", "product_height_cm", "product_width_cm")
 
-    The text work is done here, once per product instead of once per item.
+
+def with_category(items: DataFrame, products: DataFrame, translation: DataFrame, *fields: str) -> DataFrame:
+    """Items with `product_category`, translated where possible, else as it is, and `fields` of their product.
+
+    The text work is done on products and translations, not on items. Each of
+    the two is joined by itself, so that Spark decides by its own size whether
+    it is broadcast; repeated translations could make the two together larger.
     """
-    category = F.coalesce("product_category_name_english", "product_category_name")
-    labelled = products.join(translation, "product_category_name", "left").select(
-        "product_id",
-        label(category).alias("product_category"),
-        "product_weight_g",
-        "product_length_cm",
-        "product_height_cm",
-        "product_width_cm",
+    own = products.select(
+        "product_id", "product_category_name", label(F.col("product_category_name")).alias("own_label"), *fields
+    )
+    english = translation.select(
+        "product_category_name", label(F.col("product_category_name_english")).alias("english_label")
+    )
+    joined = items.join(own, "product_id", "left").join(english, "product_category_name", "left")
+    return joined.withColumn("product_category", F.coalesce("english_label", "own_label")).drop(
+        "english_label", "own_label", "product_category_name"
     )
-    return small_side(labelled, measured=products)
 
 
 def item_rows(order_items: DataFrame, products: DataFrame, translation: DataFrame) -> DataFrame:
     """One row per item with its product; product fields are null for unknown products."""
     items = order_items.withColumns({c: F.col(c).cast(EXACT) for c in ("price", "freight_value")})
-    carried = [c for c in ("item_seller",) if c in order_items.columns]
-    return items.join(product_labels(products, translation), "product_id", "left").select(
-        "order_id", *ITEM_FIELDS, *carried
-    )
+    return with_category(items, products, translation, *PRODUCT_SIZES).select("order_id", *ITEM_FIELDS)
 
 
 def payment_rows(order_payments: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from uuid import uuid4
 
 from pyspark.ml import Model
 from pyspark.ml.classification import (
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shopmart.functions.columns import count_where, ratio
 from shopmart.operators import evaluation
+from shopmart.session import shared_dir
 
 # Model settings.
 SEED = evaluation.SEED
@@ -100,7 +102,18 @@ def train(
     rows = split.where("split = 'train'")
     if weighted:
         rows = with_class_weight(rows, label)
-    return classifier(kind, label, weighted).fit(rows), split
+    return without_summary(classifier(kind, label, weighted).fit(rows)), split
+
+
+def without_summary(model: Model) -> Model:
+    """The model as it is read back from storage.
+
+    A fresh one may keep a summary of its training and with it the session,
+    which cannot be sent to tasks once a query of the session was observed.
+    """
+    path = f"{shared_dir(SparkSession.active())}/fitted-{uuid4().hex}"
+    save_model(model, path)
+    return type(model).load(path)
 
 
 def train_and_score(

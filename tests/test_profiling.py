@@ -6,9 +6,11 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import Observation
+from pyspark.sql import functions as F
 
 from helpers import by, rows
-from shopmart.operators import profiling, rules
+from shopmart.operators import models, profiling, rules
 from shopmart.plans import medallion
 from shopmart.session import cut_lineage
 
@@ -73,3 +75,12 @@ def test_reports_of_stored_gold(spark, shop):
     for name, report in reports.items():
         for r in rows(report):
             assert r == again[name, r["column"], r["rule"]]
+
+
+def test_models_score_in_a_session_that_was_observed(spark):
+    seen = Observation("any")
+    spark.range(3).observe(seen, F.count("*").alias("n")).collect()
+    assert seen.get == {"n": 3}
+    table = cut_lineage(spark.range(80).selectExpr("concat('k', id) key", "cast(id % 7 as double) x", "cast(id % 2 as int) y"))
+    for kind in ("logistic", "decision_tree"):
+        assert models.train_and_score(table, ["x"], "key", "y", kind)[1].count() > 0

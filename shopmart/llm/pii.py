@@ -119,8 +119,8 @@ _DIGIT_WORD = "(?:" + "|".join(_DIGITS) + ")"
 _DIGIT_PART = rf"(?:(?:(?:double|triple)\s+)?{_DIGIT_WORD}|[0-9]+)"
 # Digits in a row, some in words and some in figures; the detectors decide whether they are an identifier.
 _SPELLED = re.compile(rf"(?<![0-9A-Za-z]){_DIGIT_PART}(?:[\s,.-]{{1,3}}{_DIGIT_PART})+(?![0-9A-Za-z])", re.IGNORECASE)
-# A word beside another digit, without which no run holds a word.
-_BESIDE = re.compile(rf"{_DIGIT_WORD}[\s,.-]{{1,3}}{_DIGIT_PART}|[0-9][\s,.-]{{1,3}}{_DIGIT_PART}", re.IGNORECASE)
+_DIGIT_BEHIND = re.compile(rf"[\s,.-]{{1,3}}{_DIGIT_PART}")
+_PARTING = " \t\n\v\f\r\x1c\x1d\x1e\x1f\x85\xa0,.-"
 _SPELLED_PART = re.compile(rf"(?:(double|triple)\s+)?({_DIGIT_WORD})|([0-9]+)|[^0-9A-Za-z]+", re.IGNORECASE)
 
 _BRACKETED = re.compile(r"(?<!\s)\s*[\[({<]\s*(at|dot)\s*[\])}>]\s*", re.IGNORECASE)
@@ -264,6 +264,23 @@ def normalise(text: str) -> Tape:
     return at_and_dot(spelled_digits(plain_characters(Tape.of(text))))
 
 
+def _word_beside_digit(low: str) -> bool:
+    """Whether a digit word stands beside another digit, without which no run holds a word."""
+    for word in _DIGITS:
+        at = low.find(word)
+        while at >= 0:
+            end = at + len(word)
+            if not (at and low[at - 1].isalnum()) and not low[end : end + 1].isalnum():
+                last = at
+                while last and low[last - 1] in _PARTING:
+                    last -= 1
+                before = low[max(0, last - 6) : last]
+                if before[-1:].isdigit() or before.endswith(tuple(_TIMES)) or _DIGIT_BEHIND.match(low, end):
+                    return True
+            at = low.find(word, end)
+    return False
+
+
 def _may_hide(text: str) -> bool:
     """Whether any transducer could change the text; cheap tests first."""
     if not text.isascii() and _FOREIGN.search(text):
@@ -273,7 +290,7 @@ def _may_hide(text: str) -> bool:
         return True
     if ("@" in text or "at" in low) and _SPOKEN_AT.search(text):
         return True
-    return any(word in low for word in _DIGITS) and _BESIDE.search(text) is not None
+    return _word_beside_digit(low)
 
 
 def find(text: str) -> tuple[list[Span], list[Span]]:

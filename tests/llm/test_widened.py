@@ -61,6 +61,15 @@ def test_disguises_put_on_at_random_are_found():
         assert max(b for _, b in found) == 5 + len(spoken), spoken
 
 
+def test_no_run_of_digits_is_passed_over():
+    r = random.Random(3)
+    pieces = ["one", "Two", "oh", "double", "triple", "5", "55", " ", ", ", "-", ".", "x", "+1", "\n", "nine", "    "]
+    for _ in range(20_000):
+        text = "".join(r.choice(pieces) for _ in range(r.randint(1, 9)))
+        if any(c.isalpha() for m in pii._SPELLED.finditer(text) for c in m.group()):
+            assert pii._word_beside_digit(text.lower()), text
+
+
 def test_very_long_texts_take_linear_time():
     start = time.perf_counter()
     for text in ("x dot " * 50_000, "a at b.c " * 30_000, "one 2 " * 50_000, "a." * 100_000 + " one 1", "@ " * 100_000):

@@ -44,6 +44,8 @@ GRAM = 32  # a power of two
 GROUP_CONTEXTS = 20_000
 BATCH_BYTES = 1 << 21  # contexts that share one suffix array
 MAX_BUCKETS = 50_000
+SPLIT = 4  # buckets that the texts of a task are dealt into; one is what a later task holds
+MARKS_AT_ONCE = 1 << 20  # marks that are sorted together, about
 _STRETCH = 1 << 22  # starts of one text that are looked at together
 
 TEXTS = "bucket int, row int, doc_id long, data binary"
@@ -132,7 +134,7 @@ def marks(texts: DataFrame, length: int, gram: int) -> DataFrame:
     """Contexts of all texts as (anchor hash, context hash, where)."""
 
     def work(rows: Batches) -> Batches:
-        found = []
+        found, held = [], 0
         for part in rows:
             ids = _ids(part.column("doc_id").to_pylist())
             place = (part.column("bucket").to_numpy().astype(np.int64) << 32) | part.column("row").to_numpy()
@@ -144,6 +146,10 @@ def marks(texts: DataFrame, length: int, gram: int) -> DataFrame:
                     found.append(
                         (g.view(np.int64), c.view(np.int64), np.full(n, ids[i]), np.full(n, place[i]), first, (end - first))
                     )
+                    held += n
+                    if held > MARKS_AT_ONCE:
+                        yield from _settled_in_task(found)
+                        found, held = [], 0
         yield from _settled_in_task(found)
 
     return map_rows(texts, work, MARKS_DDL)
@@ -357,29 +363,30 @@ def _bucket_values(docs: DataFrame, buckets: int) -> list[int]:
 
 
 def store_texts(docs: DataFrame) -> tuple[DataFrame, str, str]:
-    """The texts as bytes in a bucketed table, its name and folder; a task fills one bucket, so nothing is shuffled."""
+    """The texts as bytes in a bucketed table, its name and folder; a task fills buckets of its own, so nothing is shuffled."""
     plain = texts_of(docs).select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("data"))
-    buckets = min(max(1, plain.rdd.getNumPartitions()), MAX_BUCKETS)
+    buckets = min(max(1, plain.rdd.getNumPartitions()) * SPLIT, MAX_BUCKETS)
     values = _bucket_values(docs, buckets)
 
     def work(rows: Batches) -> Batches:
-        # Tasks beyond the number of buckets share them; the row number tells them apart.
-        task = TaskContext.get().partitionId()
-        row = (task // buckets) << 26
+        # Slots beyond the number of buckets share them; the row number tells them apart.
+        task, turn, row = TaskContext.get().partitionId(), 0, 0
         for part in rows:
-            for at in range(0, part.num_rows, 256):
-                own = part.slice(at, 256)
+            for at in range(0, part.num_rows, 64):
+                own = part.slice(at, 64)
                 n = own.num_rows
+                slot = task * SPLIT + turn % SPLIT
+                first = ((slot // buckets) << 26) + row
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(np.full(n, values[task % buckets], np.int32)),
-                        pa.array(np.arange(row, row + n, dtype=np.int32)),
+                        pa.array(np.full(n, values[slot % buckets], np.int32)),
+                        pa.array(np.arange(first, first + n, dtype=np.int32)),
                         own.column("doc_id"),
                         pc.fill_null(own.column("data"), b""),
                     ],
                     names=["bucket", "row", "doc_id", "data"],
                 )
-                row += n
+                turn, row = turn + 1, row + n
 
     name = f"texts_{uuid4().hex}"
     path = f"{shared_dir(docs.sparkSession)}/{name}"

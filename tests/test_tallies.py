@@ -142,3 +142,55 @@ def test_observation_time_runs_no_job(nested):
     before = len(tracker.getJobIdsForGroup(None))
     features.ltv_target(nested[1])
     assert len(tracker.getJobIdsForGroup(None)) == before
+
+
+def test_lines_are_numbered_in_one_shuffle_and_meet_products_once(spark):
+    from shopmart.sources.sample import sample_bronze
+
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        plan = plan_of(denormalized_orders(sample_bronze(spark, "/root/testdata/sf0.001")))
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # Once numbered for items and reviews, once without numbers for the costs that payments are made of.
+    numbered = [x for x in plan.split("\n") if "Exchange hashpartitioning(l_orderkey" in x and "Reused" not in x]
+    assert len(numbered) == 2
+    by_product = [x for x in plan.split("\n") if "Exchange hashpartitioning(product_id" in x]
+    assert len(by_product) == 2  # items and products
+
+
+def test_only_ids_of_repeated_orders_are_counted(nested, shop):
+    from dataclasses import replace
+
+    plan = plan_of(gold.seller_performance(nested[1]))
+    assert "order_copies" in plan
+    shop.order("o1", "2018-01-01").item("o1", 1, 5.0).item("o1", 2, 5.0, "p2", "s2").payment("o1", 1, 10.0)
+    shop.order("o2", "2018-01-02").item("o2", 1, 7.0).payment("o2", 1, 7.0).payment("o2", 2, 1.0, "boleto")
+    shop.order("o3", "2018-01-02").item("o3", 1, 7.0)
+    bronze = shop.bronze()
+    other = bronze.orders.where("order_id <> 'o3'").withColumn("order_status", F.expr("if(order_id = 'o1', 'canceled', order_status)"))
+    bronze = replace(bronze, orders=bronze.orders.union(other).union(other))
+    table = denormalized_orders(bronze)
+    assert {(r["order_id"], r["order_copies"]) for r in rows(table)} == {("o1", 3), ("o2", 3), ("o3", 1)}
+    forms = [Silver.from_bronze(bronze), Silver.from_table(table), Silver.from_table(table.drop("order_copies"))]
+    for build in (gold.sales_kpi, gold.seller_performance, gold.payment_behavior):
+        first, *others = (sorted(map(str, rows(build(s)))) for s in forms)
+        assert others == [first, first] and first
+
+
+def test_products_and_sellers_listed_twice_repeat_elements_only(shop):
+    shop.product("p1", "garden").seller("s1", "MG").order("o1", "2018-01-01").item("o1", 1, 5.0).item("o1", 2, 2.0, "p2", "s2")
+    shop.item("o1", 3, 1.0, "gone", "gone").item(None, 1, 9.0)
+    bronze = shop.bronze()
+    row = rows(denormalized_orders(bronze))[0]
+    assert [(i["order_item_id"], i["product_category"]) for i in row["order_items_array"]] == [
+        (1, "Garden"), (1, "Toys"), (2, "Health Beauty"), (3, None),
+    ]
+    assert [(x["order_item_id"], x["seller_id"], x["seller_state"]) for x in row["sellers_array"]] == [
+        (1, "s1", "MG"), (1, "s1", "SP"), (2, "s2", "RJ"), (3, None, None),
+    ]
+    assert float(row["calculated_order_cost"]) == 8

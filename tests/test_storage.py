@@ -3,6 +3,7 @@ from __future__ import annotations
 from dataclasses import fields
 
 import pytest
+from pyspark.sql import functions as F
 
 from helpers import at, rows
 from shopmart.plans import medallion
@@ -142,3 +143,27 @@ def test_bucketed_silver_needs_no_shuffle_per_order(spark, shop, capsys):
     )
     pairs.explain()
     assert "Exchange" not in capsys.readouterr().out
+
+
+def test_rows_with_keys_of_their_own_are_not_moved(spark, tmp_path):
+    rows_ = [("a", "2018-01-02", 1), ("a", "2018-01-02", 2), ("b", "2018-01-02", 1), (None, None, 5), (None, None, 6)]
+    batch = spark.createDataFrame(rows_, "k string, day string, v int").withColumn("day", F.col("day").cast("date"))
+    table = storage.KeyedTable(spark, str(tmp_path / "t"), batch.schema, ["k"], "day")
+    won = table.winners(batch, ["v"])
+    assert sorted(map(str, won.select("k", "v").collect())) == ["Row(k='a', v=2)", "Row(k='b', v=1)", "Row(k=None, v=6)"]
+    plan = won._jdf.queryExecution().executedPlan().toString()
+    single = plan[plan.index("LeftAnti"):plan.index("SortAggregate")]
+    assert "hashpartitioning" not in single
+
+
+def test_stored_reports_read_the_nested_table(spark, monkeypatch):
+    from shopmart.operators import rules
+    from shopmart.operators.silver import Silver
+    from shopmart.plans import catalog
+    from shopmart.sources.sample import sample_bronze
+
+    used, form = [], catalog.nested_silver
+    monkeypatch.setattr(catalog, "nested_silver", lambda bronze: used.append(1) or form(bronze))
+    report = catalog.QUERIES["dq_rule_expression"](spark, FOLDER)
+    flat = rules.report(catalog._tables(Silver.from_bronze(sample_bronze(spark, FOLDER))), ("expression",))
+    assert used == [1] and sorted(map(str, rows(report))) == sorted(map(str, rows(flat)))

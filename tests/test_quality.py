@@ -4,6 +4,9 @@ from itertools import product
 
 from helpers import at, by, rows
 from shopmart.operators import profiling, quality, rules
+from shopmart.operators.silver import Silver, denormalized_orders
+from shopmart.plans import catalog
+from shopmart.session import cut_lineage
 
 
 def test_invalid_dates_uses_five_rules(shop):
@@ -83,3 +86,24 @@ def test_describe_is_exact(spark):
                 assert abs(row[name] - np.quantile(values, q)) < 1e-9
             assert abs(row["std"] - values.std(ddof=1)) < 1e-6
             assert (row["min"], row["max"]) == (values.min(), values.max())
+
+
+def test_report_derives_flat_parts_once(shop, monkeypatch):
+    shop.order("o1", "2018-01-01").item("o1", 1, 5.0).item("o1", 2, 2.5, "gone", "gone").payment("o1", 1, 7.5)
+    shop.order("o2", "2018-02-01", person=None, status="canceled").item("o2", 1, 1.0, "p2", "s2").payment("o2", 1, 4.0, "boleto")
+    shop.order("o3", "2018-02-03").item(None, 1, 1.0).review("r1", "o1", 4, "1/2/2018 3:04")
+    bronze, plans, store = shop.bronze(), [], rules.store_checked
+
+    def noted(df, *rest):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df, *rest)
+
+    monkeypatch.setattr(rules, "store_checked", noted)
+
+    def report(silver):
+        return sorted(tuple(r.values()) for r in rows(catalog.gold_report(silver)))
+
+    flat = report(Silver.from_bronze(bronze))
+    # Every checked table starts from files, none from the raw rows.
+    assert len(plans) == 6 and not any("RDD" in p for p in plans)
+    assert flat == report(Silver.from_table(cut_lineage(denormalized_orders(bronze)))) and any(r[3] for r in flat)

@@ -118,6 +118,13 @@ def test_silver_is_one_shuffle_by_order(spark, shop):
     assert plan.count("Exchange hashpartitioning(order_id") == 1
 
 
+def test_rows_are_collected_before_arrays_are_made_of_them(spark, shop):
+    """What is sorted by order are the rows as shuffled; the elements of the arrays are wider and would spill."""
+    plan = plan_of(denormalized_orders(shop.order("o1", "2018-01-01").item("o1", 1, 1.0).bronze())).split("\n")
+    met = next(i for i, x in enumerate(plan) if "Exchange hashpartitioning(order_id" in x)
+    assert "ObjectHashAggregate" in plan[met - 1] and "transform(" not in plan[met - 1]
+
+
 def test_flat_and_nested_totals_are_rounded_once(shop):
     shop.order("o1", "2018-01-01")
     for number, value in enumerate((0.005, 0.005, 0.004)):

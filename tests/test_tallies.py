@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from helpers import rows
 from shopmart.operators import features, gold
-from shopmart.operators.silver import Silver, denormalized_orders
+from shopmart.operators.silver import Silver, core_order, denormalized_orders
 from shopmart.operators.tallies import Tally, unfolded, with_tally
 from shopmart.session import cut_lineage
 
@@ -170,6 +170,68 @@ def test_lines_are_numbered_in_one_shuffle_and_meet_products_once(spark):
     assert len(by_product) == 2  # items and products
 
 
+def plan_of_all_joins(spark, df) -> list[str]:
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        return plan_of(df()).split("\n")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_costs_of_payments_share_the_shuffle_of_the_lines(spark):
+    from shopmart.sources.sample import sample_bronze
+
+    folder = "/root/testdata/sf0.001"
+    plan = plan_of_all_joins(spark, lambda: denormalized_orders(sample_bronze(spark, folder, shared=True)))
+    numbered = [x for x in plan if "Exchange hashpartitioning(l_orderkey" in x and "Reused" not in x]
+    assert len(numbered) == 1
+    own, shared = (sample_bronze(spark, folder, shared=s) for s in (False, True))
+    for part in ("order_items", "order_payments", "order_reviews"):
+        a, b = getattr(own, part), getattr(shared, part)
+        assert a.count() == b.count() and a.exceptAll(b).count() == 0
+
+
+def test_customers_not_orders_are_moved_by_person(spark, shop):
+    bronze = shop.order("o1", "2018-01-01").bronze()
+    plan = plan_of_all_joins(spark, lambda: core_order(bronze.orders, bronze.customers))
+    moved = [plan[i + 1] for i, x in enumerate(plan) if "Exchange hashpartitioning(customer_unique_id" in x]
+    assert len(moved) == 2 and not any("order_status" in x for x in moved)
+
+
+def test_first_state_with_customers_listed_twice_or_unknown(shop):
+    shop.order("o1", "2018-01-02", person="u1", state="SP").order("o2", "2018-01-01", person="u1", state="RJ")
+    shop.order("o3", "2018-01-03", person=None, state="MG").order("o4", "2018-01-04")
+    shop.rows["customers"] = [x for x in shop.rows["customers"] if x[0] != "c-o4"] + [("c-o1", "u2", 1, "x", "BA"), ("none", "u3", 1, "x", "AC")]
+    bronze = shop.bronze()
+    core = core_order(bronze.orders, bronze.customers)
+    found = {(r["order_id"], r["customer_unique_id"], r["primary_state"]) for r in rows(core)}
+    assert found == {("o1", "u1", "RJ"), ("o1", "u2", "BA"), ("o2", "u1", "RJ"), ("o3", None, None), ("o4", None, None)}
+    assert core.columns[:2] == ["customer_unique_id", "order_id"] and core.count() == 5
+
+
+def test_the_union_carries_ids_once_and_amounts_as_stored(shop):
+    shop.order("o1", "2018-01-01").item("o1", 1, 2.0).payment("o1", 2, 1.25).payment("o1", 1, 0.75)
+    table = denormalized_orders(shop.bronze())
+    plan = plan_of(table).split("\n")
+    met = next(i for i, x in enumerate(plan) if "Exchange hashpartitioning(order_id" in x)
+    parts = [x for x in plan[met:] if "Project [order_id" in x and "struct(" in x]
+    assert len(parts) == 4 and not any("order_id, order_id" in x or "decimal(24,6)" in x for x in parts)
+    row = rows(table)[0]
+    assert [(p["payment_sequential"], float(p["payment_value"])) for p in row["payments_array"]] == [(1, 0.75), (2, 1.25)]
+    assert dict(table.dtypes)["payments_array"].endswith("payment_value:decimal(24,6)>>") and row["order_id"] == "o1"
+
+
+def test_the_nested_table_is_stored_with_zstd(shop):
+    from shopmart.plans.catalog import nested_silver
+
+    files = nested_silver(shop.order("o1", "2018-01-01").item("o1", 1, 2.0).bronze()).table.inputFiles()
+    assert files and all(x.endswith(".zstd.parquet") for x in files)
+
+
 def test_only_ids_of_repeated_orders_are_counted(nested, shop):
     from dataclasses import replace
 

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import time
 from dataclasses import fields
 
 import pytest
@@ -167,3 +168,22 @@ def test_stored_reports_read_the_nested_table(spark, monkeypatch):
     report = catalog.QUERIES["dq_rule_expression"](spark, FOLDER)
     flat = rules.report(catalog._tables(Silver.from_bronze(sample_bronze(spark, FOLDER))), ("expression",))
     assert used == [1] and sorted(map(str, rows(report))) == sorted(map(str, rows(flat)))
+
+
+def test_a_written_step_frees_its_shuffles(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from shopmart.session import FREES_SHUFFLES, cut_lineage
+
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffled = lambda: {x for x in disk.getAllFiles().mkString("\n").split("\n") if "shuffle_" in x}
+    before = shuffled()
+    df = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).agg(F.count("*").alias("n"))
+    with ThreadPoolExecutor(3) as pool:
+        written = list(pool.map(lambda k: cut_lineage(df.where(F.col("k") >= k)), range(3)))
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before
+    assert spark.conf.get(FREES_SHUFFLES) == "false" and [w.count() for w in written] == [7, 6, 5]
+    assert shuffled() - before  # what is not written is left alone

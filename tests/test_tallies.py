@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import time
 from collections import defaultdict
 from decimal import Decimal
@@ -263,3 +264,29 @@ def test_products_and_sellers_listed_twice_repeat_elements_only(shop):
         (1, "s1", "MG"), (1, "s1", "SP"), (2, "s2", "RJ"), (3, None, None),
     ]
     assert float(row["calculated_order_cost"]) == 8
+
+
+def test_flat_children_of_other_orders_are_left_out_before_they_move(spark):
+    from shopmart.sources.sample import sample_bronze
+
+    folder = "/root/testdata/sf0.001"
+    flat = lambda: Silver.from_bronze(sample_bronze(spark, folder, shared=True))
+    for build in (features.ltv_features, gold.seller_performance):
+        plan = plan_of_all_joins(spark, lambda: build(flat()))
+        moved = [i for i, x in enumerate(plan) if re.search(r"Exchange hashpartitioning\((product_id|item_seller)", x)]
+        assert sum(any("LeftSemi" in x for x in plan[i : i + 12]) for i in moved) >= 2
+        # Lines move by order once; whatever is joined or grouped by order later on finds them there.
+        assert sum("Exchange hashpartitioning(l_orderkey" in x and "Reused" not in x for x in plan) == 1
+
+
+def test_flat_features_of_orders_and_customers_stored_twice(shop):
+    shop.order("o0", "2017-01-01").order("o1", "2018-01-01").order("o2", "2018-01-02").order("o3", "2018-12-31", status="canceled")
+    for o in ("o0", "o1", "o2"):
+        shop.item(o, 1, 5.0).item(o, 2, 3.0, "p2", "s2").payment(o, 1, 8.0)
+    shop.item(None, 1, 9.0).payment(None, 1, 9.0).product("p1", "garden")
+    shop.rows["orders"] += [shop.rows["orders"][1]]
+    shop.rows["customers"] += [shop.rows["customers"][1]]
+    bronze = shop.bronze()
+    flat, nested = (Silver.from_bronze(bronze), Silver.from_table(denormalized_orders(bronze)))
+    first, second = (sorted(map(str, rows(features.ltv_features(s)))) for s in (flat, nested))
+    assert first == second and len(first) == 2

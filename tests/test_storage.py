@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from helpers import at, rows
 from shopmart.plans import medallion
+from shopmart.session import cut_lineage
 from shopmart.sources import storage
 from shopmart.sources.bronze import SCHEMAS, Bronze, load_csv, read_csv
 from shopmart.sources.sample import number_by_parts
@@ -187,3 +188,21 @@ def test_a_written_step_frees_its_shuffles(spark):
     assert not shuffled() - before
     assert spark.conf.get(FREES_SHUFFLES) == "false" and [w.count() for w in written] == [7, 6, 5]
     assert shuffled() - before  # what is not written is left alone
+
+
+def test_whole_rows_move_for_new_keys_only(spark, tmp_path, monkeypatch):
+    written = []
+    monkeypatch.setattr(storage, "cut_lineage", lambda df: written.append(df.columns) or cut_lineage(df))
+    schema = "k string, j int, moment timestamp_ntz, wide string"
+    jan, feb = at("2018-01-05"), at("2018-02-05")
+    table = storage.KeyedTable(spark, str(tmp_path / "t"), spark.createDataFrame([], schema).schema, ["k", "j"], "moment")
+    table.load(spark.createDataFrame([("a", 1, jan, "x"), ("a", None, jan, "x"), (None, 1, feb, "x")], schema), "first")
+    assert not any("wide" in c for c in written)  # all new, each once
+    more = [("a", 1, jan, "y"), ("a", None, jan, "y"), (None, 1, feb, "y"), ("b", 1, feb, "y"), ("b", 1, feb, "z"), ("c", 1, None, "y")]
+    table.load(spark.createDataFrame(more, schema), "second", ["wide"])
+    assert sum("wide" in c for c in written) == 1
+    table.load(spark.createDataFrame(more, schema), "third")
+    assert sum("wide" in c for c in written) == 1  # nothing new
+    got = sorted((r["k"] or "", r["j"] or 0, r["wide"]) for r in rows(table.rows()))
+    assert got == [("", 1, "x"), ("a", 0, "x"), ("a", 1, "x"), ("b", 1, "z"), ("c", 1, "y")]
+    assert all(table.is_done(x) for x in ("first", "second", "third"))

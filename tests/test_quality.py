@@ -107,3 +107,27 @@ def test_report_derives_flat_parts_once(shop, monkeypatch):
     # Every checked table starts from files, none from the raw rows.
     assert len(plans) == 6 and not any("RDD" in p for p in plans)
     assert flat == report(Silver.from_table(cut_lineage(denormalized_orders(bronze)))) and any(r[3] for r in flat)
+
+
+def test_reports_are_written_one_table_at_a_time(spark, shop, monkeypatch):
+    """The disk holds the shuffles of one table, not of all that a report is on."""
+    from shopmart.operators.silver import Silver, denormalized_orders
+    from shopmart.plans import catalog
+
+    shop.order("o1", "2018-01-01").item("o1", 1, 10.0).payment("o1", 1, 10.0).review("r1", "o1", 5, "1/2/2018 3:04")
+    silver = Silver.from_table(catalog.cut_lineage(denormalized_orders(shop.bronze())))
+    monkeypatch.setattr(catalog, "nested_silver", lambda bronze: silver)
+    monkeypatch.setattr(catalog, "sample_bronze", lambda *a, **b: None)
+    running, written, write = [], [], catalog.cut_lineage
+
+    def one(df):
+        assert not running
+        running.append(1)
+        out = write(df)
+        written.append(running.pop())
+        return out
+
+    monkeypatch.setattr(catalog, "cut_lineage", one)
+    report = catalog.QUERIES["dq_rule_expression"](spark, "none")
+    assert len(written) == 6 and report.count() == 23 and "Exchange" not in report._jdf.queryExecution().executedPlan().toString()
+    assert catalog.gold_report(silver).count() == sum(map(len, catalog.rules.RULES.values())) and len(written) == 12
